@@ -1,0 +1,93 @@
+"""Small per-file helpers that run on executors inside ``mapInPandas``.
+
+Only the first line (the header) or a streamed digest of each file is read here;
+all row data goes through Spark's own readers.
+"""
+
+from __future__ import annotations
+
+import csv
+import hashlib
+from collections.abc import Iterator
+from urllib.parse import unquote, urlparse
+
+import pandas as pd
+
+_CHUNK = 1 << 20
+
+
+def _open(uri: str):
+    parsed = urlparse(uri)
+    if parsed.scheme in ("", "file"):
+        return open(unquote(parsed.path), "rb")
+    from pyarrow import fs  # object stores and HDFS
+
+    filesystem, path = fs.FileSystem.from_uri(uri)
+    return filesystem.open_input_stream(path)
+
+
+def first_line(uri: str) -> str | None:
+    """Text of the first line of a file, without BOM and line end (None if empty)."""
+    buffer = b""
+    with _open(uri) as handle:
+        while b"\n" not in buffer:
+            chunk = handle.read(64 * 1024)
+            if not chunk:
+                break
+            buffer += chunk
+    if not buffer:
+        return None
+    line = buffer.split(b"\n", 1)[0].rstrip(b"\r")
+    return line.decode("utf-8-sig")
+
+
+def header_fields(line: str | None) -> list[str] | None:
+    if line is None:
+        return None
+    return next(csv.reader([line]))
+
+
+def sha256_of(uri: str) -> str:
+    """SHA-256 of the complete file, read in 1 MiB chunks (memory stays bounded)."""
+    digest = hashlib.sha256()
+    with _open(uri) as handle:
+        for chunk in iter(lambda: handle.read(_CHUNK), b""):
+            digest.update(chunk)
+    return digest.hexdigest()
+
+
+def headers_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(path) -> (path, header as a list of names, or null for an empty file)."""
+    for batch in batches:
+        yield pd.DataFrame(
+            {"path": batch["path"], "header": [header_fields(first_line(p)) for p in batch["path"]]}
+        )
+
+
+def digest_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(path) -> (path, sha256)."""
+    for batch in batches:
+        yield pd.DataFrame({"path": batch["path"], "sha256": [sha256_of(p) for p in batch["path"]]})
+
+
+def _create(uri: str):
+    parsed = urlparse(uri)
+    if parsed.scheme in ("", "file"):
+        import os
+
+        os.makedirs(os.path.dirname(unquote(parsed.path)), exist_ok=True)
+        return open(unquote(parsed.path), "w", newline="", encoding="utf-8")
+    import io
+
+    from pyarrow import fs
+
+    filesystem, path = fs.FileSystem.from_uri(uri)
+    return io.TextIOWrapper(filesystem.open_output_stream(path), encoding="utf-8", newline="")
+
+
+def write_csv(uri: str, header: list[str], rows: list[list[object]]) -> None:
+    """Write one CSV file (header first) at ``uri``."""
+    with _create(uri) as handle:
+        writer = csv.writer(handle)
+        writer.writerow(header)
+        writer.writerows(["" if v is None else v for v in row] for row in rows)
