@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from obslake.functions.casts import safe_integer
 from obslake.functions.evidence import json_of_struct, quarantine_id, row_struct
 from obslake.schemas import (
     EVIDENCE_COLUMN,
@@ -36,11 +37,12 @@ def evidence_columns(columns: Sequence[str], exclude: Sequence[str] = VOLATILE_C
 
 def typed_columns(df: DataFrame) -> DataFrame:
     """Safe typing: a value that does not convert becomes null instead of failing."""
+    types = {f.name: f.dataType for f in df.schema.fields}
     return (
         df.withColumn("date", F.col("date").try_cast("date"))
         .withColumn("serial_number", F.trim(F.col("serial_number").cast("string")))
-        .withColumn("capacity_bytes", F.col("capacity_bytes").try_cast("bigint"))
-        .withColumn("failure", F.col("failure").try_cast("int"))
+        .withColumn("capacity_bytes", safe_integer(F.col("capacity_bytes"), "bigint", types["capacity_bytes"]))
+        .withColumn("failure", safe_integer(F.col("failure"), "int", types["failure"]))
     )
 
 

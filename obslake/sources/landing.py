@@ -64,9 +64,12 @@ def read_landing(spark: SparkSession, files: DataFrame) -> DataFrame | None:
 
 
 def write_landing(df: DataFrame, landing: str, release: str = "release") -> None:
-    """Write rows as landing CSV below ``release=<value>/`` folders, text kept exactly."""
+    """Write rows as landing CSV below ``release=<value>/`` folders, text kept exactly.
+
+    Rows are grouped by release first, so each release folder gets one file."""
     (
-        df.write.mode("append")
+        df.repartition(release)
+        .write.mode("append")
         .partitionBy(release)
         .option("header", "true")
         .option("ignoreLeadingWhiteSpace", "false")

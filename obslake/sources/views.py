@@ -21,7 +21,15 @@ from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table. Input held in fewer files than the cluster has task slots (a
+    single-row-group file is read by one task) is spread by hash of its first (id)
+    column, so the per-row work before the first shuffle uses every slot; a large
+    input, made of many files, is read as it is."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    slots = spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) < slots:
+        df = df.repartition(slots, df.columns[0])
+    return df
 
 
 def _release_path(day: Column, revision: Column) -> Column:
