@@ -57,7 +57,7 @@ def joined(column: str) -> F.Column:
 
 @register("period_metrics", f"WITH {S.OBS} {S.period_sql('obs')}")
 def q_period_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return period_metrics(views.observations(spark, sf_dir), *PERIOD)
+    return period_metrics(views.observations(spark, sf_dir, spread=False), *PERIOD)
 
 
 @register(
@@ -70,7 +70,7 @@ def q_period_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("daily_metrics", f"WITH {S.OBS} {S.daily_sql('obs')}")
 def q_daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_metrics(views.observations(spark, sf_dir))
+    return daily_metrics(views.observations(spark, sf_dir, spread=False))
 
 
 @register(
@@ -125,7 +125,7 @@ SELECT t_date AS date, t_serial AS serial_number, model, t_capacity AS capacity_
        source_file, source_revision FROM diag""",
 )
 def q_validate_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return typed_columns(views.bronze_text(spark, sf_dir)).select(
+    return typed_columns(views.bronze_table(spark, sf_dir)).select(
         "date", "serial_number", "model", "capacity_bytes", "failure", "source_file", "source_revision"
     )
 
@@ -137,7 +137,7 @@ SELECT source_file, source_revision, t_serial AS serial_number, array_to_string(
        CAST(len(reasons) AS INTEGER) AS n_reasons FROM diag""",
 )
 def q_validate_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_diagnostics(views.bronze_text(spark, sf_dir)).select(
+    return with_diagnostics(views.bronze_table(spark, sf_dir)).select(
         "source_file",
         "source_revision",
         "serial_number",
@@ -153,7 +153,7 @@ SELECT t_date AS date, t_serial AS serial_number, model, t_capacity AS capacity_
        source_file, source_quarter, source_revision FROM diag WHERE len(reasons) = 0""",
 )
 def q_validate_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate_rows(views.bronze_text(spark, sf_dir)).accepted.select(
+    return validate_rows(views.bronze_table(spark, sf_dir)).accepted.select(
         "date", "serial_number", "model", "capacity_bytes", "failure", "source_file", "source_quarter", "source_revision"
     )
 
@@ -166,7 +166,7 @@ SELECT quarantine_id, source_file, source_revision, t_date AS date, t_serial AS
 FROM diag WHERE len(reasons) > 0""",
 )
 def q_validate_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate_rows(views.bronze_text(spark, sf_dir)).rejected.select(
+    return validate_rows(views.bronze_table(spark, sf_dir)).rejected.select(
         "quarantine_id",
         "source_file",
         "source_revision",
@@ -183,7 +183,7 @@ def q_validate_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {S.DIAGNOSED} SELECT source_file, source_revision, raw_record FROM diag WHERE len(reasons) > 0",
 )
 def q_quarantine_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate_rows(views.bronze_text(spark, sf_dir)).rejected.select("source_file", "source_revision", "raw_record")
+    return validate_rows(views.bronze_table(spark, sf_dir)).rejected.select("source_file", "source_revision", "raw_record")
 
 
 @register(
@@ -192,7 +192,7 @@ def q_quarantine_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT quarantine_id, COUNT(*) AS occurrences FROM diag WHERE len(reasons) > 0 GROUP BY quarantine_id""",
 )
 def q_quarantine_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rejected = validate_rows(views.bronze_text(spark, sf_dir)).rejected
+    rejected = validate_rows(views.bronze_table(spark, sf_dir)).rejected
     return collapse_quarantine(rejected).select("quarantine_id", "occurrences")
 
 
@@ -203,7 +203,7 @@ SELECT quarantine_id, source_file, source_quarter, source_revision, raw_record,
        array_to_string(reasons, ',') AS rejection_reasons FROM collapsed""",
 )
 def q_quarantine_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, quarantine = publishable(build_silver(views.bronze_text(spark, sf_dir)))
+    _, quarantine = publishable(build_silver(views.bronze_table(spark, sf_dir)))
     return quarantine.select(
         "quarantine_id",
         "source_file",
@@ -221,7 +221,7 @@ SELECT array_to_string(reasons, ',') AS rejection_reasons, COUNT(*) AS rejected_
 FROM collapsed GROUP BY reasons ORDER BY rejected_rows DESC""",
 )
 def q_rejection_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, quarantine = publishable(build_silver(views.bronze_text(spark, sf_dir)))
+    _, quarantine = publishable(build_silver(views.bronze_table(spark, sf_dir)))
     return (
         quarantine.groupBy("rejection_reasons")
         .agg(F.count(F.lit(1)).alias("rejected_rows"))
@@ -234,7 +234,7 @@ def q_rejection_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _folded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_smart_attributes(views.bronze_text(spark, sf_dir))
+    return with_smart_attributes(views.bronze_table(spark, sf_dir))
 
 
 @register(
@@ -385,7 +385,7 @@ def q_resolve_conflicts_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT t_date AS date, t_serial AS serial_number, source_revision, t_failure AS failure FROM trusted""",
 )
 def q_resolve_invalid_newer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trusted = build_silver(views.bronze_text(spark, sf_dir)).trusted
+    trusted = build_silver(views.bronze_table(spark, sf_dir)).trusted
     return trusted.select("date", "serial_number", "source_revision", "failure")
 
 
@@ -445,7 +445,7 @@ def _trusted_flat(trusted: DataFrame) -> DataFrame:
 
 @register("publish_projection", f"WITH {S.SILVER} {_TRUSTED_VIEW}")
 def q_publish_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trusted, _ = publishable(build_silver(views.bronze_text(spark, sf_dir)))
+    trusted, _ = publishable(build_silver(views.bronze_table(spark, sf_dir)))
     return _trusted_flat(trusted)
 
 
@@ -454,7 +454,7 @@ def q_publish_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {S.SILVER}, flat AS ({_TRUSTED_VIEW}) SELECT * FROM flat ORDER BY date, serial_number LIMIT 20",
 )
 def q_trusted_head(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trusted, _ = publishable(build_silver(views.bronze_text(spark, sf_dir)))
+    trusted, _ = publishable(build_silver(views.bronze_table(spark, sf_dir)))
     return _trusted_flat(trusted).orderBy("date", "serial_number").limit(20)
 
 
@@ -517,7 +517,7 @@ def q_upsert_null_safe_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("publish_replace", f"WITH {S.OBS} {S.daily_sql('obs')}")
 def q_publish_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "gold-daily")
-    daily = daily_metrics(views.observations(spark, sf_dir))
+    daily = daily_metrics(views.observations(spark, sf_dir, spread=False))
     replace_path(spark, daily, path)
     replace_path(spark, daily, path)
     return read_table(spark, path)
@@ -612,7 +612,7 @@ UNION ALL SELECT 'trusted_rows', COUNT(*) FROM trusted
 UNION ALL SELECT 'quarantine_rows', COUNT(*) FROM collapsed""",
 )
 def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = views.bronze_text(spark, sf_dir)
+    bronze = views.bronze_table(spark, sf_dir)
     trusted, quarantine = publishable(build_silver(bronze))
 
     def counter(name: str, df: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ SOURCE_COLUMNS_2024 = SOURCE_COLUMNS_2019 + [
 
 def landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze text with the release folder name each row lands in."""
-    brz = views.bronze_text(spark, sf_dir)
+    brz = views.bronze_table(spark, sf_dir)
     release = F.concat(F.col("source_quarter"), F.lit("-r"), F.col("source_revision").cast("string"))
     return brz.withColumn("release", release).withColumn("_early", F.col("source_quarter") < F.lit("1998"))
 

@@ -20,14 +20,29 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. Input held in fewer files than the cluster has task slots (a
-    single-row-group file is read by one task) is spread by hash of its first (id)
-    column, so the per-row work before the first shuffle uses every slot; a large
-    input, made of many files, is read as it is."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+SPREAD_MIN_BYTES = 512 * 1024
+
+
+def _bytes_on_disk(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hadoop_path).getLength())
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """A given table.
+
+    A table held in fewer files than the cluster has task slots is read by a few
+    tasks (a single-row-group file by one); if it is not tiny it is spread by hash of
+    its first (id) column so the per-row work before the first shuffle uses every slot.
+    A large input, made of many files, is read as it is; tiny tables (broadcast
+    candidates) are left alone.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
     slots = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < slots:
+    if spread and len(df.inputFiles()) < slots and _bytes_on_disk(spark, path) >= SPREAD_MIN_BYTES:
         df = df.repartition(slots, df.columns[0])
     return df
 
@@ -53,8 +68,10 @@ def _release_path_sql(day: str, revision: str) -> str:
     )
 
 
-def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = table(spark, sf_dir, "lineitem").select("l_partkey", "l_linenumber", "l_returnflag", "l_shipdate")
+def observations(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
+    """OBS. ``spread=False`` for light per-row work (metrics), where spreading a small
+    single-file input costs more than it saves."""
+    items = table(spark, sf_dir, "lineitem", spread).select("l_partkey", "l_linenumber", "l_returnflag", "l_shipdate")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
     day = F.col("l_shipdate").cast("date")
     return items.join(parts, items.l_partkey == parts.p_partkey).select(
@@ -217,3 +234,34 @@ FROM lineitem JOIN part ON l_partkey = p_partkey
 
 
 BRONZE_TEXT_SQL = _bronze_sql()
+
+
+def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BRZ as a written Bronze table in the shared folder, as the ingest job leaves it.
+
+    It is derived once per version of the source files (their paths, sizes and
+    modification times name the folder); the folder becomes visible by rename after
+    the write commits, so a failed or concurrent derivation is never read half done.
+    """
+    import hashlib
+    import uuid
+
+    from obslake.session import shared_dir
+
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    stamp = []
+    for name in ("lineitem", "part"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        status = path.getFileSystem(conf).getFileStatus(path)
+        stamp.append(f"{status.getPath()}:{status.getLen()}:{status.getModificationTime()}")
+    key = hashlib.sha256("|".join(stamp).encode()).hexdigest()[:16]
+    final = f"{shared_dir(spark)}/obslake/bronze-text/{key}"
+    final_path = jvm.org.apache.hadoop.fs.Path(final)
+    fs = final_path.getFileSystem(conf)
+    if not fs.exists(final_path):
+        staging = f"{final}.staging-{uuid.uuid4().hex}"
+        bronze_text(spark, sf_dir).write.mode("overwrite").parquet(staging)
+        if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), final_path) and not fs.exists(final_path):
+            raise RuntimeError(f"could not publish {final}")
+    return spark.read.parquet(final)
