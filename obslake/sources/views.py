@@ -239,11 +239,13 @@ BRONZE_TEXT_SQL = _bronze_sql()
 def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BRZ as a written Bronze table in the shared folder, as the ingest job leaves it.
 
-    It is derived once per version of the source files (their paths, sizes and
-    modification times name the folder); the folder becomes visible by rename after
+    It is derived once per version of the source files and of the view definition
+    (source paths, sizes and modification times and the view's SQL name the folder;
+    the Spark and SQL definitions change together); the folder becomes visible by rename after
     the write commits, so a failed or concurrent derivation is never read half done.
     """
     import hashlib
+    import inspect
     import uuid
 
     from obslake.session import shared_dir
@@ -255,6 +257,9 @@ def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
         status = path.getFileSystem(conf).getFileStatus(path)
         stamp.append(f"{status.getPath()}:{status.getLen()}:{status.getModificationTime()}")
+    # The definition is part of the name, so a changed view never reuses old rows.
+    stamp.append(BRONZE_TEXT_SQL)
+    stamp.append(inspect.getsource(bronze_text) + inspect.getsource(smart_readings))
     key = hashlib.sha256("|".join(stamp).encode()).hexdigest()[:16]
     final = f"{shared_dir(spark)}/obslake/bronze-text/{key}"
     final_path = jvm.org.apache.hadoop.fs.Path(final)
