@@ -50,3 +50,39 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique folder below the shared folder."""
     return f"{shared_dir(spark)}/obslake/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``obslake`` importable in executor Python workers (``addPyFile`` of a zip).
+
+    Needed only by the per-file helpers that run inside ``mapInPandas`` /
+    ``applyInPandas``; done once per application.
+    """
+    import hashlib
+    import os
+    import zipfile
+
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package_dir)
+    sources = sorted(
+        os.path.join(folder, name)
+        for folder, _, names in os.walk(package_dir)
+        for name in names
+        if name.endswith(".py")
+    )
+    digest = hashlib.sha256()
+    for path in sources:
+        with open(path, "rb") as handle:
+            digest.update(path.encode() + handle.read())
+    archive = os.path.join(tempfile.mkdtemp(prefix="obslake-py-"), f"obslake-{digest.hexdigest()[:12]}.zip")
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for path in sources:
+            bundle.write(path, os.path.relpath(path, root))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from obslake.schemas import RESCUED_COLUMN
+from obslake.session import ship_package
 from obslake.sources.files import headers_batches
 
 HEADER_SCHEMA = StructType([StructField("path", StringType()), StructField("header", ArrayType(StringType()))])
@@ -23,6 +24,7 @@ HEADER_SCHEMA = StructType([StructField("path", StringType()), StructField("head
 
 def file_headers(files: DataFrame) -> DataFrame:
     """(path) -> (path, header): one small read per file, spread over executors."""
+    ship_package(files.sparkSession)
     return files.select("path").mapInPandas(headers_batches, HEADER_SCHEMA)
 
 
