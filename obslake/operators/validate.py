@@ -38,11 +38,13 @@ def evidence_columns(columns: Sequence[str], exclude: Sequence[str] = VOLATILE_C
 def typed_columns(df: DataFrame) -> DataFrame:
     """Safe typing: a value that does not convert becomes null instead of failing."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    return (
-        df.withColumn("date", F.col("date").try_cast("date"))
-        .withColumn("serial_number", F.trim(F.col("serial_number").cast("string")))
-        .withColumn("capacity_bytes", safe_integer(F.col("capacity_bytes"), "bigint", types["capacity_bytes"]))
-        .withColumn("failure", safe_integer(F.col("failure"), "int", types["failure"]))
+    return df.withColumns(
+        {
+            "date": F.col("date").try_cast("date"),
+            "serial_number": F.trim(F.col("serial_number").cast("string")),
+            "capacity_bytes": safe_integer(F.col("capacity_bytes"), "bigint", types["capacity_bytes"]),
+            "failure": safe_integer(F.col("failure"), "int", types["failure"]),
+        }
     )
 
 
@@ -83,8 +85,7 @@ def with_raw_evidence(df: DataFrame) -> DataFrame:
         else json_of_struct(row_struct(evidence_columns([c for c in df.columns if not c.startswith("_")])))
     )
     return df.withColumn("raw_record", raw).withColumn(
-        "quarantine_id",
-        quarantine_id(F.col("source_file"), F.col("source_revision"), F.col("raw_record")),
+        "quarantine_id", quarantine_id(F.col("source_file"), F.col("source_revision"), F.col("raw_record"))
     )
 
 

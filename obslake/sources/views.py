@@ -23,11 +23,24 @@ from pyspark.sql import functions as F
 SPREAD_MIN_BYTES = 512 * 1024
 
 
-def _bytes_on_disk(spark: SparkSession, path: str) -> int:
+_READS: dict[tuple[int, str, int, int], tuple[DataFrame, int]] = {}
+
+
+def _read(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
+    """Parquet reader and size on disk, reused while the files are unchanged.
+
+    A DataFrame is an immutable plan, so sharing it between queries is safe and saves
+    the file listing and footer read of every new query on the same input.
+    """
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(hadoop_path).getLength())
+    summary = fs.getContentSummary(hadoop_path)
+    status = fs.getFileStatus(hadoop_path)
+    key = (id(spark), path, int(summary.getLength()), int(status.getModificationTime()))
+    if key not in _READS:
+        _READS[key] = (spark.read.parquet(path), int(summary.getLength()))
+    return _READS[key]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
@@ -40,9 +53,9 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
     candidates) are left alone.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
+    df, size = _read(spark, path)
     slots = spark.sparkContext.defaultParallelism
-    if spread and len(df.inputFiles()) < slots and _bytes_on_disk(spark, path) >= SPREAD_MIN_BYTES:
+    if spread and len(df.inputFiles()) < slots and size >= SPREAD_MIN_BYTES:
         df = df.repartition(slots, df.columns[0])
     return df
 
@@ -269,4 +282,4 @@ def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         bronze_text(spark, sf_dir).write.mode("overwrite").parquet(staging)
         if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), final_path) and not fs.exists(final_path):
             raise RuntimeError(f"could not publish {final}")
-    return spark.read.parquet(final)
+    return _read(spark, final)[0]
