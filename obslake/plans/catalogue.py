@@ -203,7 +203,8 @@ SELECT quarantine_id, source_file, source_quarter, source_revision, raw_record,
        array_to_string(reasons, ',') AS rejection_reasons FROM collapsed""",
 )
 def q_quarantine_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, quarantine = publishable(build_silver(views.bronze_table(spark, sf_dir)))
+    stage = scratch_path(spark, "conflict-keys")
+    _, quarantine = publishable(build_silver(views.bronze_table(spark, sf_dir), stage=stage))
     return quarantine.select(
         "quarantine_id",
         "source_file",
@@ -221,7 +222,8 @@ SELECT array_to_string(reasons, ',') AS rejection_reasons, COUNT(*) AS rejected_
 FROM collapsed GROUP BY reasons ORDER BY rejected_rows DESC""",
 )
 def q_rejection_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, quarantine = publishable(build_silver(views.bronze_table(spark, sf_dir)))
+    stage = scratch_path(spark, "conflict-keys")
+    _, quarantine = publishable(build_silver(views.bronze_table(spark, sf_dir), stage=stage))
     return (
         quarantine.groupBy("rejection_reasons")
         .agg(F.count(F.lit(1)).alias("rejected_rows"))
@@ -343,7 +345,8 @@ SELECT {S.quarantine_id('source_file', 'source_revision', S.json_object(_OBS_EVI
 FROM o_top WHERE versions > 1""",
 )
 def q_resolve_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conflicts = resolve_records(views.observations(spark, sf_dir)).conflicts
+    stage = scratch_path(spark, "conflict-keys")
+    conflicts = resolve_records(views.observations(spark, sf_dir), stage=stage).conflicts
     return conflicts.select(
         "quarantine_id",
         "date",
@@ -375,7 +378,8 @@ SELECT {S.quarantine_id('source_file', 'source_revision', S.json_object(_EVT_EVI
        date, serial_number, value_cents, source_file, source_revision FROM e_top WHERE versions > 1""",
 )
 def q_resolve_conflicts_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conflicts = resolve_records(views.event_observations(spark, sf_dir)).conflicts
+    stage = scratch_path(spark, "conflict-keys")
+    conflicts = resolve_records(views.event_observations(spark, sf_dir), stage=stage).conflicts
     return conflicts.select("quarantine_id", "date", "serial_number", "value_cents", "source_file", "source_revision")
 
 
