@@ -59,9 +59,11 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``obslake`` importable in executor Python workers (``addPyFile`` of a zip).
 
     Needed only by the per-file helpers that run inside ``mapInPandas`` /
-    ``applyInPandas``; done once per application.
+    ``applyInPandas``; done once per application. The zip is written to the shared
+    folder, named by the hash of the sources.
     """
     import hashlib
+    import io
     import os
     import zipfile
 
@@ -77,12 +79,23 @@ def ship_package(spark: SparkSession) -> None:
         if name.endswith(".py")
     )
     digest = hashlib.sha256()
-    for path in sources:
-        with open(path, "rb") as handle:
-            digest.update(path.encode() + handle.read())
-    archive = os.path.join(tempfile.mkdtemp(prefix="obslake-py-"), f"obslake-{digest.hexdigest()[:12]}.zip")
-    with zipfile.ZipFile(archive, "w") as bundle:
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as bundle:
         for path in sources:
-            bundle.write(path, os.path.relpath(path, root))
-    context.addPyFile(archive)
+            with open(path, "rb") as handle:
+                content = handle.read()
+            digest.update(os.path.relpath(path, root).encode() + content)
+            bundle.writestr(os.path.relpath(path, root), content)
+    target = f"{shared_dir(spark)}/obslake/pyfiles/obslake-{digest.hexdigest()[:16]}.zip"
+    jvm = context._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = hadoop_path.getFileSystem(context._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop_path):
+        staged = jvm.org.apache.hadoop.fs.Path(f"{target}.{uuid.uuid4().hex}")
+        stream = fs.create(staged, True)
+        stream.write(bytearray(buffer.getvalue()))
+        stream.close()
+        if not fs.rename(staged, hadoop_path):
+            fs.delete(staged, False)
+    context.addPyFile(target)
     _SHIPPED.add(context.applicationId)
