@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 SPREAD_MIN_BYTES = 512 * 1024
 
 
-_READS: dict[tuple[int, str, int, int], tuple[DataFrame, int]] = {}
+_READS: dict[tuple[str, str, int, int], tuple[DataFrame, int]] = {}
 
 
 def _read(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
@@ -37,7 +37,7 @@ def _read(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
     fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     summary = fs.getContentSummary(hadoop_path)
     status = fs.getFileStatus(hadoop_path)
-    key = (id(spark), path, int(summary.getLength()), int(status.getModificationTime()))
+    key = (spark.sparkContext.applicationId, path, int(summary.getLength()), int(status.getModificationTime()))
     if key not in _READS:
         _READS[key] = (spark.read.parquet(path), int(summary.getLength()))
     return _READS[key]
