@@ -75,3 +75,11 @@ def test_sample_rejects_bad_input(spark, tmp_path):
         sample_release(spark, str(tmp_path / "in"), str(tmp_path / "out"), "2024-Q5-r1", 10)
     with pytest.raises(ValueError, match="rows_per_file must be positive"):
         sample_release(spark, str(tmp_path / "in"), str(tmp_path / "out"), "2024-Q1-r1", 0)
+
+
+def test_file_without_header_is_rejected(spark, tmp_path):
+    folder = tmp_path / "in"
+    write_csv(folder / "ok.csv", [["date"], ["2024-01-01"]])
+    (folder / "empty.csv").write_text("")
+    with pytest.raises(ValueError, match="CSV file has no header"):
+        sample_release(spark, str(folder), str(tmp_path / "out"), "2024-Q1-r1", 10)
