@@ -58,12 +58,9 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``obslake`` importable in executor Python workers (``addPyFile`` of a zip).
 
-    Needed only by the per-file helpers that run inside ``mapInPandas`` /
-    ``applyInPandas``; done once per application. The zip is written to the shared
-    folder, named by the hash of the sources.
+    Needed by functions that run in Python workers; done once per application. The zip
+    is made in the driver's own temporary folder; Spark serves it to the executors.
     """
-    import hashlib
-    import io
     import os
     import zipfile
 
@@ -72,30 +69,12 @@ def ship_package(spark: SparkSession) -> None:
         return
     package_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(package_dir)
-    sources = sorted(
-        os.path.join(folder, name)
-        for folder, _, names in os.walk(package_dir)
-        for name in names
-        if name.endswith(".py")
-    )
-    digest = hashlib.sha256()
-    buffer = io.BytesIO()
-    with zipfile.ZipFile(buffer, "w") as bundle:
-        for path in sources:
-            with open(path, "rb") as handle:
-                content = handle.read()
-            digest.update(os.path.relpath(path, root).encode() + content)
-            bundle.writestr(os.path.relpath(path, root), content)
-    target = f"{shared_dir(spark)}/obslake/pyfiles/obslake-{digest.hexdigest()[:16]}.zip"
-    jvm = context._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(target)
-    fs = hadoop_path.getFileSystem(context._jsc.hadoopConfiguration())
-    if not fs.exists(hadoop_path):
-        staged = jvm.org.apache.hadoop.fs.Path(f"{target}.{uuid.uuid4().hex}")
-        stream = fs.create(staged, True)
-        stream.write(bytearray(buffer.getvalue()))
-        stream.close()
-        if not fs.rename(staged, hadoop_path):
-            fs.delete(staged, False)
-    context.addPyFile(target)
+    bundle_path = os.path.join(tempfile.mkdtemp(prefix="obslake-zip-"), "obslake.zip")
+    with zipfile.ZipFile(bundle_path, "w") as bundle:
+        for folder, _, names in os.walk(package_dir):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    bundle.write(path, os.path.relpath(path, root))
+    context.addPyFile(bundle_path)
     _SHIPPED.add(context.applicationId)
