@@ -11,6 +11,7 @@ from obslake.session import scratch_path
 
 #: A word is a run of characters other than space and the controls 0x09 to 0x0D.
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
+SPACES = " \t\n\x0b\x0c\r"
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -22,7 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def words(text: Column) -> Column:
     """Words of a text in order (null text: none)."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD_PATTERN), F.lit(0))
+    # One-character replaces and a one-character split work on bytes; a pattern is several times slower.
+    body = F.coalesce(text, F.lit(""))
+    for space in SPACES[1:]:
+        body = F.replace(body, F.lit(space), F.lit(" "))
+    return F.array_remove(F.split(body, " "), "")
 
 
 def ascii_lower(text: Column) -> Column:

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from obslake.llm.common import words
 
 SYMBOLS = "#*$%&|<>"
-SPACES = " \t\n\x0b\x0c\r"
 MIN_WORDS = 50
 
 #: Buckets of the hashed n-grams: the size of both multinomials, whatever the corpus.
@@ -26,26 +25,35 @@ THRESHOLD = -0.08
 
 def with_base_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed and the
-    working column ``_words``. Null text counts as no text."""
+    working column ``_hashes`` (one 64-bit hash a word). Null text counts as no text."""
     body = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(body, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     df = docs.withColumn("_words", words(F.col(text)))
-    df = df.withColumns({"n_words": F.size("_words").cast("long"), "_lines": lines})
-    # One long per three-word window: hash above, position below; sorted, equal windows are neighbours.
+    df = df.withColumns(
+        {
+            "n_words": F.size("_words").cast("long"),
+            "word_chars": F.length(F.array_join("_words", "")).cast("long"),
+            "_hashes": word_hashes(),
+            "_lines": lines,
+        }
+    ).drop("_words")
+    df = df.withColumn("_windows", F.expr(_neighbours(3)))
+    # Only a text with equal windows is looked at further: one long per window, hash above and
+    # position below; sorted, equal windows are neighbours.
     df = df.withColumn("_bits", F.length(F.bin("n_words")))
     df = df.withColumn(
-        "_windows",
+        "_placed",
         F.expr(
-            "CASE WHEN n_words >= 3 THEN sort_array(transform(sequence(0, size(_words) - 3), i -> "
-            "shiftleft(xxhash64(get(_words, i), get(_words, i + 1), get(_words, i + 2)), _bits) | i)) END"
+            "CASE WHEN size(array_distinct(_windows)) < size(_windows) THEN sort_array(transform(_windows, "
+            "(x, i) -> shiftleft(x, _bits) | i)) END"
         ),
     )
     df = df.withColumn(
         "_repeated",
         F.expr(
-            "sort_array(transform(filter(_windows, (x, i) -> "
-            "shiftright(x, _bits) = shiftright(get(_windows, i - 1), _bits) OR "
-            "shiftright(x, _bits) = shiftright(get(_windows, i + 1), _bits)), "
+            "sort_array(transform(filter(_placed, (x, i) -> "
+            "shiftright(x, _bits) = shiftright(get(_placed, i - 1), _bits) OR "
+            "shiftright(x, _bits) = shiftright(get(_placed, i + 1), _bits)), "
             "x -> x & (shiftleft(1L, _bits) - 1)))"
         ),
     )
@@ -53,29 +61,38 @@ def with_base_rules(docs: DataFrame, text: str = "text") -> DataFrame:
         "coalesce(aggregate(transform(_repeated, (p, i) -> least(3L, coalesce(get(_repeated, i + 1) - p, 3L))), "
         "0L, (a, x) -> a + x), 0L)"
     )
+    without_symbols = body
+    for symbol in SYMBOLS:
+        without_symbols = F.replace(without_symbols, F.lit(symbol), F.lit(""))
     df = df.withColumns(
         {
-            "word_chars": F.length(F.translate(body, SPACES, "")).cast("long"),
-            "n_symbols": (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("long"),
+            "n_symbols": (F.length(body) - F.length(without_symbols)).cast("long"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
             "n_repeat_words": covered,
         }
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return df.withColumn("base_failed", failed).drop("_lines", "_bits", "_windows", "_repeated")
+    return df.withColumn("base_failed", failed).drop("_lines", "_bits", "_windows", "_placed", "_repeated")
+
 
+def word_hashes(words_column: str = "_words") -> Column:
+    return F.transform(words_column, lambda x: F.xxhash64(x))
 
-def hashed_ngrams(buckets: int = BUCKETS, words_column: str = "_words") -> Column:
-    """Bucket of every word and of every pair of neighbouring words, in text order."""
-    w = words_column
-    return F.expr(
-        f"concat(transform({w}, x -> cast(pmod(xxhash64(x), {buckets}L) as int)), "
-        f"CASE WHEN size({w}) >= 2 THEN transform(sequence(0, size({w}) - 2), "
-        f"i -> cast(pmod(xxhash64(get({w}, i), get({w}, i + 1)), {buckets}L) as int)) "
-        f"ELSE cast(array() as array<int>) END)"
+
+def _neighbours(n: int) -> str:
+    """SQL: one hash for every ``n`` neighbouring words of ``_hashes``."""
+    rest = ", ".join(f"get(_hashes, i + {k})" for k in range(1, n))
+    return (
+        f"CASE WHEN size(_hashes) >= {n} THEN slice(transform(_hashes, (x, i) -> xxhash64(x, {rest})), 1, "
+        f"size(_hashes) - {n - 1}) ELSE cast(array() as array<bigint>) END"
     )
 
 
+def hashed_ngrams() -> Column:
+    """Hash of every word and of every pair of neighbouring words, from ``_hashes``."""
+    return F.concat(F.col("_hashes"), F.expr(_neighbours(2)))
+
+
 def ngram_counts(docs: DataFrame, trusted: DataFrame, text: str = "text", buckets: int = BUCKETS) -> DataFrame:
     """(bucket, raw, target): n-gram counts over all of ``docs`` and over its trusted documents.
 
@@ -87,8 +104,13 @@ def ngram_counts(docs: DataFrame, trusted: DataFrame, text: str = "text", bucket
         docs.select("doc_id", F.col(text).alias("_text"))
         .join(flag, "doc_id", "left")
         .select("_target", words(F.col("_text")).alias("_words"))
-        .select("_target", F.explode(hashed_ngrams(buckets)).alias("bucket"))
-        .groupBy("bucket")
+        .select("_target", word_hashes().alias("_hashes"))
+        .select("_target", hashed_ngrams().alias("_ngrams"))
+        # Outer: a plain explode adds a filter on the array's size, which the optimizer pushes down
+        # with the array's whole expression inlined, once more for every element.
+        .select("_target", F.explode_outer("_ngrams").alias("_ngram"))
+        .where("_ngram IS NOT NULL")
+        .groupBy(F.expr(f"cast(pmod(_ngram, {buckets}L) as int)").alias("bucket"))
         .agg(F.count(F.lit(1)).alias("raw"), F.count("_target").alias("target"))
     )
 
@@ -109,12 +131,12 @@ def log_ratios(counts: DataFrame, buckets: int = BUCKETS, raw_share: float = RAW
     return ratios
 
 
-def ratio_score(ratios: list[float], words_column: str = "_words") -> Column:
-    """Mean log-ratio of a document's n-grams (0 for a document without words)."""
+def ratio_score(ratios: list[float]) -> Column:
+    """Mean log-ratio of the n-grams in ``_ngrams`` (0 for a document without words)."""
     # One literal: the split and the cast are folded into an array when the query is planned.
     table = f"cast(split('{','.join(map(repr, ratios))}', ',') as array<double>)"
-    summed = F.expr(f"aggregate(_buckets, 0D, (a, b) -> a + get({table}, b))")
-    return F.when(F.size("_buckets") > 0, summed / F.size("_buckets")).otherwise(F.lit(0.0))
+    summed = F.expr(f"aggregate(_ngrams, 0D, (a, x) -> a + get({table}, cast(pmod(x, {len(ratios)}L) as int)))")
+    return F.when(F.size("_ngrams") > 0, summed / F.size("_ngrams")).otherwise(F.lit(0.0))
 
 
 def quality_rules(
@@ -129,8 +151,8 @@ def quality_rules(
     """
     own = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
     ratios = log_ratios(ngram_counts(docs, trusted, text, buckets), buckets)
-    df = with_base_rules(docs.drop(*own), text).withColumn("_buckets", hashed_ngrams(buckets))
-    df = df.withColumn("score", ratio_score(ratios)).drop("_buckets", "_words")
+    df = with_base_rules(docs.drop(*own), text).withColumn("_ngrams", hashed_ngrams())
+    df = df.withColumn("score", ratio_score(ratios)).drop("_ngrams", "_hashes")
     return df.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
 
 
