@@ -102,7 +102,9 @@ def ngram_counts(docs: DataFrame, trusted: DataFrame, text: str = "text", bucket
     flag = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct().withColumn("_target", F.lit(1))
     return (
         docs.select("doc_id", F.col(text).alias("_text"))
-        .join(flag, "doc_id", "left")
+        # Always by a shuffle: the trusted ids grow with the corpus, and a broadcast that small inputs
+        # get would only hide what large ones cost.
+        .join(flag.hint("merge"), "doc_id", "left")
         .select("_target", words(F.col("_text")).alias("_words"))
         .select("_target", word_hashes().alias("_hashes"))
         .select("_target", hashed_ngrams().alias("_ngrams"))
