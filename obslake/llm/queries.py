@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obslake.llm import licences, quality
+from obslake.llm import licences, mixing, quality, warc_zip
 from obslake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,19 @@ def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return fn
 
 
+@register
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return (
+        mixing.mix(docs)
+        .withColumn("taken", mixing.taken_words())
+        .groupBy("doc_id", "source", "size", "source_size", "target", "order_key")
+        .agg(F.sum("taken").alias("taken"), F.count("slots").alias("blocks"))
+        .drop("order_key")
+    )
+
+
 @register
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules, score and verdict of every document."""
@@ -37,3 +50,11 @@ def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op9_licence_scan"] = licences.scan_sql()
+
+
+@register
+def op10_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record into ZIP archives, and read back from them."""
+    folder = warc_zip.archive_folder(spark)
+    archives = warc_zip.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc_zip.read_records(archives, folder).drop("payload", "url")
