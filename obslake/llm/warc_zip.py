@@ -1,8 +1,8 @@
 """WARC records in ZIP-packaged archives: writer and range reader.
 
-An archive is a ZIP file of stored (uncompressed) members: ``archive/data.warc`` with the
-records and ``indexes/index.cdxj`` with one JSON line a record (offset and length within
-the WARC member). The reader parses the end of central directory record, its ZIP64 form
+An archive is a ZIP file of stored members: ``archive/data.warc.gz`` with the records, each a
+gzip member of its own, and ``indexes/index.cdxj`` with one JSON line a record (offset and
+length within the WARC member). The reader parses the end of central directory record, its ZIP64 form
 where the 32-bit fields are full, the central directory and the members' local headers,
 reads the index and range-reads each record. Nothing is extracted.
 """
@@ -10,9 +10,9 @@ reads the index and range-reads each record. Nothing is extracted.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import json
-import os
 import struct
 import uuid
 import zlib
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from obslake.llm.common import staged
 from obslake.session import scratch_path, ship_package
 
-WARC_MEMBER = "archive/data.warc"
+WARC_MEMBER = "archive/data.warc.gz"
 INDEX_MEMBER = "indexes/index.cdxj"
 FULL32, FULL16 = 0xFFFFFFFF, 0xFFFF
 #: Payload bytes after which a task closes an archive and starts the next.
@@ -248,7 +248,9 @@ def write_archives(pages: DataFrame, folder: str, zip64: bool = False, least_byt
                     writer = ZipWriter(out, zip64)
                     writer.start(WARC_MEMBER)
                 digest = base64.b32encode(sha).decode()
-                record = warc_record(page_id, url, payload if first else None, digest, length, response_id)
+                record = gzip.compress(
+                    warc_record(page_id, url, payload if first else None, digest, length, response_id), 3, mtime=0
+                )
                 index.append(json.dumps({"id": page_id, "offset": total, "length": len(record)}) + "\n")
                 writer.write(record)
                 total += len(record)
@@ -306,7 +308,7 @@ def read_records(archives: DataFrame, folder: str) -> DataFrame:
                         rows = []
                         for entry in run:
                             start = entry["offset"] - run[0]["offset"]
-                            record = parse_record(data[start : start + entry["length"]])
+                            record = parse_record(gzip.decompress(data[start : start + entry["length"]]))
                             digest = record["warc-payload-digest"].removeprefix("sha1:")
                             response = record["warc-type"] == "response"
                             if response and (payload_digest(record["payload"]), len(record["payload"])) != (digest, record["length"]):
