@@ -22,7 +22,7 @@ GOLDEN = 0.6180339887498949
 BLOCK_WORDS = 256
 LEAST_BLOCKS = 512
 #: Documents of one shuffle bucket of a source, on average.
-BUCKET_DOCS = 20_000
+BUCKET_DOCS = 1_000
 #: Slots that one task maps to sources at a time.
 SLOTS_AT_ONCE = 1 << 16
 SHARE = 1.5
