@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obslake.llm import licences, mixing, quality, warc_zip
-from obslake.llm.common import table
+from obslake.llm import langid, licences, mixing, ngram_join, packing, quality, substring, token_counts, topk, warc_zip
+from obslake.llm.common import staged, table
+from obslake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +20,90 @@ def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return fn
 
 
+@register
+def op1_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals by source, language and tokenizer version after four signed batches.
+
+    All documents are inserted under two tokenizer versions, the second is revised to its next
+    version, the copies of equal texts are deleted, and the revision is delivered once more.
+    """
+    versions = ["words-v1", "pieces-v1", "pieces-v2"]
+    counts = staged(token_counts.counted(table(spark, sf_dir, "documents"), versions), "token-counts")
+    store = scratch_path(spark, "llm-token-rollup")
+
+    def rows(version: str, sign: int) -> DataFrame:
+        return token_counts.signed(counts, versions, version, sign)
+
+    revision = token_counts.changes(rows("pieces-v1", -1), rows("pieces-v2", +1))
+    token_counts.commit(spark, store, "0-load", token_counts.changes(rows("words-v1", +1), rows("pieces-v1", +1)))
+    token_counts.commit(spark, store, "1-revise-pieces", revision)
+    token_counts.commit(spark, store, "2-delete-copies", token_counts.copies_removed(counts, versions, ["words-v1", "pieces-v2"]))
+    token_counts.commit(spark, store, "1-revise-pieces", revision)
+    return token_counts.totals(spark, store)
+
+
+ORACLES["op1_token_rollup"] = """
+WITH kept AS (
+    SELECT source, lang, text FROM documents WHERE text IS NULL
+    UNION ALL
+    SELECT source, lang, text FROM (
+        SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id NULLS LAST) AS n FROM documents WHERE text IS NOT NULL)
+    WHERE n = 1),
+counted AS (
+    SELECT source, lang, 'words-v1' AS tokenizer_version, coalesce(length(text), 0) AS chars,
+           len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS tokens FROM kept
+    UNION ALL
+    SELECT source, lang, 'pieces-v2', coalesce(length(text), 0),
+           len(regexp_extract_all(coalesce(text, ''),
+               '[A-Za-z0-9\\x{80}-\\x{10FFFF}]+|[^A-Za-z0-9\\x20\\x09-\\x0D\\x{80}-\\x{10FFFF}]')) FROM kept)
+SELECT source, lang, tokenizer_version, CAST(count(*) AS BIGINT) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens,
+       CAST(sum(chars) AS BIGINT) AS chars
+FROM counted GROUP BY ALL
+"""
+
+
+@register
+def op2_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence of 1024 ids."""
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"))
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+@register
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count and component of every document."""
+    return ngram_join.components(table(spark, sf_dir, "documents"))
+
+
+@register
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best vectors for every query vector (id divisible by 50)."""
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
+ORACLES["op4_exact_topk"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, x.vec_id, CAST(list_sum(list_transform(list_zip(q.c, x.c), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v q JOIN v x ON q.vec_id <> x.vec_id AND len(q.c) = len(x.c) WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@register
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out(F.col("doc_id")))
+    model = langid.learn(docs.where("NOT held_out"))
+    return langid.identify(docs.select("doc_id", "held_out", "text"), model)
+
+
 @register
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
@@ -40,6 +125,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(docs, trusted).drop("text")
 
 
+@register
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words removed from every document, and the digest of the words that stay."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    stripped = substring.without_repeats(docs)
+    return stripped.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @register
 def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical digest of every document and the licence that its entire text is, if any."""
