@@ -262,11 +262,9 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     document with a smaller doc_id. ``docs`` has doc_id, row_key, text."""
     spark = docs.sparkSession
     ship_package(spark)
-    found = staged(
-        segments(docs, shared_anchors(docs)).withColumn("seg", F.xxhash64("anchor", "words")).withColumn(
-            "owner", F.coalesce("doc_id", F.lit(NO_ID))
-        ),
-        "segments",
+    # What follows from the other columns is computed again rather than written.
+    found = staged(segments(docs, shared_anchors(docs)), "segments").withColumns(
+        {"seg": F.xxhash64("anchor", "words"), "owner": F.coalesce("doc_id", F.lit(NO_ID))}
     )
     # Copies of a segment are one entry of the index, combined before the shuffle.
     distinct = staged(
