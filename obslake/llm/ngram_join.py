@@ -7,8 +7,8 @@ as the size bound asks for) propose pairs, and blocks of proposed pairs have the
 accumulated over all columns. Pairs below the bound given by their sizes are discarded.
 
 What is wanted is which documents hang together, so a pair is only proposed while its
-documents are not yet linked through others: first every row with one pivot of its columns,
-then across the classes that remain apart. No link between different components is missed.
+documents are not yet linked through others: first every row with one hub of its columns,
+then across the components that remain apart. No link between different components is missed.
 """
 
 from __future__ import annotations
@@ -26,7 +26,14 @@ from obslake.llm.repeats import shared_hashes
 SHINGLE_WORDS = 5
 #: Least similarity in hundredths: 100 * intersection >= PERCENT * union.
 PERCENT = 80
-DOC_SCHEMA = "doc_id long, n_shingles long, node long, live binary, prefix binary"
+#: Rounds in which every row is held against its best hub before all remaining pairs are.
+HUB_ROUNDS = 3
+DOC_SCHEMA = "doc_id long, row_key long, n_shingles long, node long, weight double, live binary, prefix binary"
+
+
+def row_key() -> Column:
+    """Tells rows of one doc_id apart by their text."""
+    return F.xxhash64(F.col("text").cast("string")).alias("row_key")
 
 
 def least_overlap(n: np.ndarray) -> np.ndarray:
@@ -35,9 +42,10 @@ def least_overlap(n: np.ndarray) -> np.ndarray:
 
 
 def incidence(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """Staged rows (doc_id, n_shingles, node, live, prefix), one per row of ``docs``.
+    """Staged rows (doc_id, row_key, n_shingles, node, weight, live, prefix), one per row of ``docs``.
 
-    ``node`` identifies the row's set; ``live`` holds its columns that other rows have too
+    ``node`` identifies the row's set; ``weight`` is how many rows a column of it is in, on average
+    (a text that others are copied from has a larger one than its copies); ``live`` holds its columns that other rows have too
     (null when too few for any link) and ``prefix`` the rarest of them that must contain a
     common one, each with its place in the row's order.
     """
@@ -45,7 +53,7 @@ def incidence(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     def extract(batch):
         import pyarrow as pa
 
-        data, offsets = utf8(batch.column(1))
+        data, offsets = utf8(batch.column(2))
         data = lower_ascii(data)
         start, end, rows = word_spans(data, offsets)
         own, grams = shingles(word_hashes(data, start, end), rows, batch.num_rows, shingle_words)
@@ -61,7 +69,8 @@ def incidence(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
         np.add.at(again, own, mix(grams ^ np.uint64(0x5851F42D4C957F2D)))
         node = mix(node + mix(again + n.astype(np.uint64)))
         kept = pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(node.view(np.int64))], names=["doc_id", "n", "node"]
+            [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(node.view(np.int64))],
+            names=["doc_id", "row_key", "n", "node"],
         )
         return kept, own, grams
 
@@ -72,6 +81,7 @@ def incidence(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
         order = np.lexsort((tokens, df, rows))
         rows, tokens = rows[order], tokens[order]
         starts = np.searchsorted(rows, np.arange(len(n) + 1))
+        weight = np.bincount(rows, weights=df[order], minlength=len(n)) / np.maximum(n, 1)
         live, prefix = [], []
         for i, need in enumerate(least_overlap(n)):
             own = tokens[starts[i] : starts[i + 1]]
@@ -84,16 +94,18 @@ def incidence(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
             prefix.append(np.stack([first, np.arange(alone, alone + len(first), dtype=np.uint64)], axis=1).tobytes())
             live.append(np.sort(own).tobytes())
         return pa.RecordBatch.from_arrays(
-            [kept.column("doc_id"), kept.column("n"), kept.column("node"), pa.array(live, pa.binary()), pa.array(prefix, pa.binary())],
-            names=["doc_id", "n_shingles", "node", "live", "prefix"],
+            [*kept.columns, pa.array(weight), pa.array(live, pa.binary()), pa.array(prefix, pa.binary())],
+            names=["doc_id", "row_key", "n_shingles", "node", "weight", "live", "prefix"],
         )
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    source = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), row_key(), F.col("text").cast("string").alias("text")
+    )
     return shared_hashes(source, extract, finish, DOC_SCHEMA, "incidence")
 
 
 def _postings(classes: DataFrame) -> DataFrame:
-    """(token, node, n, place) of every prefix column of every class."""
+    """(token, node, n, weight, place) of every prefix column of every class."""
 
     def unpack(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -101,7 +113,7 @@ def _postings(classes: DataFrame) -> DataFrame:
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 part = batch.slice(lo, 1000)
-                pairs = [np.frombuffer(p, np.uint64).reshape(-1, 2) for p in part.column(2).to_pylist()]
+                pairs = [np.frombuffer(p, np.uint64).reshape(-1, 2) for p in part.column(3).to_pylist()]
                 counts = [len(p) for p in pairs]
                 flat = np.concatenate(pairs)
                 yield pa.RecordBatch.from_arrays(
@@ -109,12 +121,15 @@ def _postings(classes: DataFrame) -> DataFrame:
                         pa.array(flat[:, 0].copy().view(np.int64)),
                         pa.array(np.repeat(part.column(0).to_numpy(), counts)),
                         pa.array(np.repeat(part.column(1).to_numpy(), counts)),
+                        pa.array(np.repeat(part.column(2).to_numpy(), counts)),
                         pa.array(flat[:, 1].copy().view(np.int64)),
                     ],
-                    names=["token", "node", "n", "place"],
+                    names=["token", "node", "n", "weight", "place"],
                 )
 
-    return classes.select("node", "n", "prefix").mapInArrow(unpack, "token long, node long, n long, place long")
+    return classes.select("node", "n", "weight", "prefix").mapInArrow(
+        unpack, "token long, node long, n long, weight double, place long"
+    )
 
 
 def _linked(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -192,9 +207,9 @@ def _apart(postings: DataFrame) -> DataFrame:
 
 
 def components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_copies) of every row of ``docs``.
+    """(doc_id, n_shingles, component_id, n_copies, row_key, component) of every row of ``docs``.
 
-    ``component_id`` is the smallest doc_id reachable by links (a row's own included; null ids
+    ``component`` labels the rows that hang together (null: linked with none). ``component_id`` is the smallest doc_id reachable by links (a row's own included; null ids
     count only when there is no other); ``n_copies`` the rows with the same set. Rows without
     a word, null or empty texts: no shingle, linked with nothing. Repeated rows are copies of
     each other. Other columns of ``docs`` are ignored.
@@ -205,6 +220,7 @@ def components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame
         .groupBy("node")
         .agg(
             F.first("n_shingles").alias("n"),
+            F.max("weight").alias("weight"),
             F.first("live").alias("live"),
             F.first("prefix").alias("prefix"),
             F.min("doc_id").alias("first_doc"),
@@ -213,32 +229,30 @@ def components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame
         "classes",
     )
     postings = _postings(classes)
-    several = postings.groupBy("token").agg(F.min("node").alias("pivot"), F.max("node").alias("_b")).where("pivot <> _b")
-    postings = staged(postings.join(several.select("token", "pivot").hint("merge"), "token"), "postings")
-
-    # First every row with the smallest pivot among its columns: one pair a row.
-    stars = (
-        postings.where("pivot <> node").groupBy(F.col("node").alias("a")).agg(F.min("pivot").alias("b"))
-    )
-    edges = staged(_linked(stars, classes), "links")
-    labels = connected(edges)
-    # Then, in columns that still join two components, every row with the first row of its column
-    # and with one of the largest component.
-    apart = staged(_apart(_with_component(postings.drop("pivot"), labels)), "apart")
-    ends = apart.groupBy("token").agg(
-        F.min(F.struct("component", "node")).alias("lo"), F.max(F.struct("component", "node")).alias("hi")
-    )
-    second = apart.join(ends.hint("merge"), "token")
-    stars = (
-        second.where("component <> lo.component").select(F.col("node").alias("a"), F.col("lo.node").alias("b"))
-        .union(second.where("component <> hi.component").select(F.col("node").alias("a"), F.col("hi.node").alias("b")))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-    )
-    edges = staged(edges.union(_linked(stars, classes)), "links")
-    labels = connected(edges)
-    # Last, what is still apart: all pairs across components but within the largest, if sizes and places allow a link.
-    apart = staged(_apart(_with_component(apart.drop("component"), labels)), "apart")
+    several = postings.groupBy("token").agg(F.min("node").alias("_a"), F.max("node").alias("_b")).where("_a <> _b")
+    postings = staged(postings.join(several.select("token").hint("merge"), "token", "left_semi"), "postings")
+
+    # First every row with the best hub among its columns, one pair a row: copies of one text differ
+    # from each other more than from that text. Then once more across components.
+    edges, tried, labels = None, None, None
+    apart = postings.withColumn("component", F.col("node"))
+    for _ in range(HUB_ROUNDS):
+        hubs = apart.groupBy("token").agg(F.max(F.struct("weight", "node", "component")).alias("hub"))
+        pairs = staged(
+            apart.join(hubs.hint("merge"), "token")
+            .where("component <> hub.component")
+            .groupBy("node")
+            .agg(F.max("hub").alias("hub"))
+            .select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
+            .distinct(),
+            "pairs",
+        )
+        tried = pairs if tried is None else tried.union(pairs)
+        found = _linked(pairs, classes)
+        edges = staged(found if edges is None else edges.union(found), "links")
+        labels = connected(edges)
+        apart = staged(_apart(_with_component(apart.drop("component"), labels)), "apart")
+    # Last, what is still apart: all pairs across components, if sizes and places allow a link.
     most = (
         apart.groupBy("token", "component").agg(F.count(F.lit(1)).alias("_n"))
         .groupBy("token").agg(F.max(F.struct("_n", "component")).alias("_m"))
@@ -258,7 +272,7 @@ def components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame
         .where((100 + PERCENT) * possible >= PERCENT * (F.col("n_a") + F.col("n_b")))
         .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
         .distinct()
-        .join(stars.hint("merge"), ["a", "b"], "left_anti")
+        .join(tried.hint("merge"), ["a", "b"], "left_anti")
     )
     edges = staged(edges.union(_linked(across, classes)), "links")
     labels = connected(edges)
@@ -267,7 +281,22 @@ def components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame
         "component", F.coalesce("component", "node")
     )
     smallest = grouped.groupBy("component").agg(F.min("first_doc").alias("component_id"))
-    per_node = grouped.join(smallest.hint("merge"), "component").select("node", "component_id", "copies")
-    return rows.select("doc_id", "n_shingles", "node").join(per_node.hint("merge"), "node", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("copies", F.lit(1)).alias("n_copies")
-    )
+    per_node = grouped.join(smallest.hint("merge"), "component").select("node", "component", "component_id", "copies")
+    return rows.select("doc_id", "row_key", "n_shingles", "node").join(per_node.hint("merge"), "node", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("copies", F.lit(1)).alias("n_copies"),
+        "row_key", "component",
+    )
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay when one row of each component does: that with the smallest
+    doc_id (null last, then by text). Of rows with equal doc_id and text one stays, also
+    where the text has no word."""
+    found = components(docs).select("doc_id", "row_key", "component")
+    alone = found.where("component IS NULL").select("doc_id", "row_key")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    first = found.where("component IS NOT NULL").groupBy("component").agg(F.min(order).alias("k")).select("k.doc_id", "k.row_key")
+    stay = alone.union(first).distinct().select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"))
+    keyed = docs.withColumn("_row_key", row_key())
+    same = (F.col("_row_key") == F.col("_key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
+    return keyed.join(stay.hint("merge"), same, "left_semi").dropDuplicates(["doc_id", "_row_key"]).drop("_row_key")
