@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from obslake.llm.common import staged, words
+from obslake.session import ship_package
 
 GOLDEN = 0.6180339887498949
 #: Words of a block, and the least number of blocks of a source that has as many words.
@@ -112,7 +113,8 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", block_words
     """One row per document and block of it that the schedule takes, and one (block null) for a
     document that gets none: the columns of ``docs`` with size, source_size, target, block,
     block_from and block_to (the span of the document's words in that block) and slots (the
-    schedule's slots that take the block) and order_key (the row's place in the shuffle).
+    schedule's slots that take the block), order_key (the row's place in the shuffle) and line_from
+    (the words before it on its source's line).
 
     Null or empty texts have size 0 and get no words; null sources are one source, last in
     order; a null doc_id is ordered like any value; repeated rows are documents of their own.
@@ -120,7 +122,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", block_words
     (its words and documents). Clashing columns of ``docs`` are replaced by the results.
     """
     spark = docs.sparkSession
-    own = ["size", "source_size", "target", "block", "block_from", "block_to", "slots", "order_key"]
+    own = ["size", "source_size", "target", "block", "block_from", "block_to", "slots", "order_key", "line_from"]
     docs = docs.drop(*own)
     sized = docs.withColumn("size", F.size(words(F.col(text))).cast("long"))
     light = sized.select("size", F.col(source).alias("_source"))
@@ -176,9 +178,74 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", block_words
             "block_to": F.expr("least(_to, (block + 1) * source_size div blocks) - _from"),
         }
     )
+    spread = spread.withColumn("line_from", F.col("_from"))
     return spread.join(taken, ["source_no", "block"], "left").select(*docs.columns, *own)
 
 
 def taken_words() -> Column:
     """Words of a row of ``mix`` that the schedule takes, repeats counted."""
     return F.coalesce((F.col("block_to") - F.col("block_from")) * F.size("slots"), F.lit(0)).cast("long")
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The mix as documents: a row of ``docs`` for each run of its words that the schedule takes,
+    twice where it takes them twice. A whole document keeps its text; a part has its words
+    joined by one space, and ``n_chars`` (if there) follows the text. Documents of which
+    nothing is taken, or without words, are left out."""
+    ship_package(docs.sparkSession)
+    keyed = docs.withColumn("_row_key", F.xxhash64(F.col("text").cast("string")))
+    light = mix(keyed.select("doc_id", "source", "_row_key", "text")).where("slots IS NOT NULL")
+    span = F.struct("line_from", "block_from", "block_to", F.size("slots").alias("times"), "size")
+    taken = (
+        light.groupBy("doc_id", "_row_key")
+        .agg(F.sort_array(F.collect_list(span)).alias("_spans"))
+        .select(F.col("doc_id").alias("_id"), F.col("_row_key").alias("_key"), "_spans")
+    )
+    same = (F.col("_row_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    # Repeated rows share one entry, with the spans of each of them.
+    joined = keyed.dropDuplicates(["doc_id", "_row_key"]).join(taken.hint("merge"), same).select(*docs.columns, "_spans")
+    names, at = docs.columns, docs.columns.index("text")
+
+    def cut(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
+                rows, texts = [], []
+                for i, (text, spans) in enumerate(zip(part.column(at).to_pylist(), part.column(len(names)).to_pylist(), strict=True)):
+                    words = None
+                    for start, end, size in _runs(spans):
+                        if end - start < size:
+                            words = text.encode().split() if words is None else words
+                            texts.append(b" ".join(words[start:end]).decode())
+                        else:
+                            texts.append(text)
+                        rows.append(i)
+                columns = [c.take(pa.array(rows, pa.int64())) for c in part.columns[: len(names)]]
+                columns[at] = pa.array(texts, pa.string())
+                if "n_chars" in names:
+                    columns[names.index("n_chars")] = pa.array([len(t) for t in texts], pa.int64())
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    schema = ", ".join(
+        f"`{f.name}` {'long' if f.name == 'n_chars' else f.dataType.simpleString()}" for f in docs.schema
+    )
+    return joined.mapInArrow(cut, schema)
+
+
+def _runs(spans: list[dict]) -> Iterator[tuple[int, int, int]]:
+    """(from, to, size) of the runs of words taken at least once, then at least twice, of each row."""
+    for line in sorted({s["line_from"] for s in spans}):
+        for times in range(1, MOST_REPEATS + 1):
+            start = end = None
+            for s in spans:
+                if s["line_from"] != line or s["times"] < times:
+                    continue
+                if end != s["block_from"]:
+                    if start is not None:
+                        yield start, end, size
+                    start = s["block_from"]
+                end, size = s["block_to"], s["size"]
+            if start is not None:
+                yield start, end, size

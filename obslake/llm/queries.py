@@ -72,7 +72,7 @@ def op2_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle count and component of every document."""
-    return ngram_join.components(table(spark, sf_dir, "documents"))
+    return ngram_join.components(table(spark, sf_dir, "documents")).drop("row_key", "component")
 
 
 @register
@@ -151,3 +151,11 @@ def op10_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc_zip.archive_folder(spark)
     archives = warc_zip.write_archives(table(spark, sf_dir, "pages"), folder)
     return warc_zip.read_records(archives, folder).drop("payload", "url")
+
+
+@register
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline's result over all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
