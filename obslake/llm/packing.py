@@ -24,7 +24,7 @@ END_ID = 0
 #: Text bytes tokenized at a time.
 SLICE_BYTES = 2 << 20
 #: Rows of one rank bucket of a length, on average.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 1_000
 PIECES_SCHEMA = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
 _ENCODERS: dict = {}
