@@ -81,9 +81,10 @@ KNOWN_LICENCES = (
     ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3."),
 )
 
-# A copyright line: optional comment marks, then "copyright", "(c)" or the sign, to the line's end;
-# also "all rights reserved" lines. Applied after A-Z lower-casing.
-COPYRIGHT_LINE = "^[ \\t/*#;-]*(?:copyright(?: |\\t|\\(|:)|\\(c\\)|©|all rights reserved)[^\\n]*$"
+# A copyright line: optional comment marks, then "copyright" with a sign or year, "(c)" or the sign,
+# to the line's end; also "all rights reserved" lines. A wrapped line of a licence that begins with
+# "copyright notice" or "copyright holders" is none. Applied after A-Z lower-casing.
+COPYRIGHT_LINE = "^[ \\t/*#;-]*(?:copyright[ \\t:]*(?:\\(c\\)|©|[0-9])|\\(c\\)|©|all rights reserved)[^\\n]*$"
 NOT_CANONICAL = "[^a-z0-9\\x{80}-\\x{10FFFF}]+"
 
 

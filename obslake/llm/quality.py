@@ -19,8 +19,10 @@ MIN_WORDS = 50
 BUCKETS = 1 << 14
 #: Share of the raw distribution mixed into the target (bounds a log-ratio from below).
 RAW_SHARE = 0.05
+#: Pseudo-count of a bucket in both multinomials: n-grams too rare to tell anything count for nothing.
+PRIOR = 50.0
 #: Least mean log-ratio (nats per n-gram) of a kept document.
-THRESHOLD = -0.08
+THRESHOLD = -0.05
 
 
 def with_base_rules(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -118,7 +120,8 @@ def ngram_counts(docs: DataFrame, trusted: DataFrame, text: str = "text", bucket
 
 
 def log_ratios(counts: DataFrame, buckets: int = BUCKETS, raw_share: float = RAW_SHARE) -> list[float]:
-    """Log-ratio of each bucket, ``log((1 - s) * p_target / p_raw + s)``; 0 for a bucket that no
+    """Log-ratio of each bucket, ``log((1 - s) * (target + PRIOR) / (expected + PRIOR) + s)``, where
+    ``expected`` is the bucket's raw share of all trusted n-grams; 0 for a bucket that no
     n-gram has, and everywhere when there is no trusted n-gram. The driver gets ``buckets``
     numbers at most, whatever the corpus."""
     import math
@@ -129,7 +132,8 @@ def log_ratios(counts: DataFrame, buckets: int = BUCKETS, raw_share: float = RAW
     ratios = [0.0] * buckets
     if target_total:
         for bucket, (raw, target) in rows.items():
-            ratios[bucket] = math.log((1 - raw_share) * (target / target_total) / (raw / raw_total) + raw_share)
+            expected = raw * target_total / raw_total
+            ratios[bucket] = math.log((1 - raw_share) * (target + PRIOR) / (expected + PRIOR) + raw_share)
     return ratios
 
 
