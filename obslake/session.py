@@ -33,8 +33,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
     Written intermediate tables, streaming checkpoints and published snapshots live
-    below it, so they survive the loss of any executor. Only when the session has no
-    such folder (local tests) is a private one set up.
+    below it, so they survive the loss of any executor. A local session without one (tests)
+    gets a private folder; on a cluster a missing folder is an error, because a folder of
+    the driver's machine is not shared.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -42,6 +43,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="obslake-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local

@@ -20,44 +20,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-SPREAD_MIN_BYTES = 512 * 1024
-
-
-_READS: dict[tuple[str, str, int, int], tuple[DataFrame, int]] = {}
-
-
-def _read(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
-    """Parquet reader and size on disk, reused while the files are unchanged.
-
-    A DataFrame is an immutable plan, so sharing it between queries is safe and saves
-    the file listing and footer read of every new query on the same input.
-    """
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    summary = fs.getContentSummary(hadoop_path)
-    status = fs.getFileStatus(hadoop_path)
-    key = (spark.sparkContext.applicationId, path, int(summary.getLength()), int(status.getModificationTime()))
-    if key not in _READS:
-        _READS[key] = (spark.read.parquet(path), int(summary.getLength()))
-    return _READS[key]
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """A given table.
-
-    A table held in fewer files than the cluster has task slots is read by a few
-    tasks (a single-row-group file by one); if it is not tiny it is spread by hash of
-    its first (id) column so the per-row work before the first shuffle uses every slot.
-    A large input, made of many files, is read as it is; tiny tables (broadcast
-    candidates) are left alone.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df, size = _read(spark, path)
-    slots = spark.sparkContext.defaultParallelism
-    if spread and len(df.inputFiles()) < slots and size >= SPREAD_MIN_BYTES:
-        df = df.repartition(slots, df.columns[0])
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table, read as it is."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _release_path(day: Column, revision: Column) -> Column:
@@ -81,10 +46,9 @@ def _release_path_sql(day: str, revision: str) -> str:
     )
 
 
-def observations(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
-    """OBS. ``spread=False`` for light per-row work (metrics), where spreading a small
-    single-file input costs more than it saves."""
-    items = table(spark, sf_dir, "lineitem", spread).select("l_partkey", "l_linenumber", "l_returnflag", "l_shipdate")
+def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OBS."""
+    items = table(spark, sf_dir, "lineitem").select("l_partkey", "l_linenumber", "l_returnflag", "l_shipdate")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
     day = F.col("l_shipdate").cast("date")
     return items.join(parts, items.l_partkey == parts.p_partkey).select(
@@ -272,7 +236,7 @@ def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         stamp.append(f"{status.getPath()}:{status.getLen()}:{status.getModificationTime()}")
     # The definition is part of the name, so a changed view never reuses old rows.
     stamp.append(BRONZE_TEXT_SQL)
-    stamp.append(inspect.getsource(bronze_text) + inspect.getsource(smart_readings))
+    stamp.append("".join(map(inspect.getsource, (bronze_text, smart_readings, _release_path, _text, table))))
     key = hashlib.sha256("|".join(stamp).encode()).hexdigest()[:16]
     final = f"{shared_dir(spark)}/obslake/bronze-text/{key}"
     final_path = jvm.org.apache.hadoop.fs.Path(final)
@@ -282,4 +246,4 @@ def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         bronze_text(spark, sf_dir).write.mode("overwrite").parquet(staging)
         if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), final_path) and not fs.exists(final_path):
             raise RuntimeError(f"could not publish {final}")
-    return _read(spark, final)[0]
+    return spark.read.parquet(final)
