@@ -28,7 +28,12 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 #: Rounds in which every row is held against its best hub before all remaining pairs are.
 HUB_ROUNDS = 3
-DOC_SCHEMA = "doc_id long, row_key long, n_shingles long, node long, weight double, live binary, prefix binary"
+#: Words of a parity sketch: bit i is the parity of the live columns that fall on it.
+SKETCH = ("s0", "s1", "s2", "s3")
+DOC_SCHEMA = (
+    "doc_id long, row_key long, n_shingles long, node long, weight double, n_live long, "
+    "s0 long, s1 long, s2 long, s3 long, live binary, prefix binary"
+)
 
 
 def row_key() -> Column:
@@ -42,12 +47,13 @@ def least_overlap(n: np.ndarray) -> np.ndarray:
 
 
 def incidence(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """Staged rows (doc_id, row_key, n_shingles, node, weight, live, prefix), one per row of ``docs``.
+    """Staged rows (doc_id, row_key, n_shingles, node, weight, n_live, sketch words, live, prefix), one per row of ``docs``.
 
     ``node`` identifies the row's set; ``weight`` is how many rows a column of it is in, on average
     (a text that others are copied from has a larger one than its copies); ``live`` holds its columns that other rows have too
-    (null when too few for any link) and ``prefix`` the rarest of them that must contain a
-    common one, each with its place in the row's order.
+    (null when too few for any link), ``n_live`` how many, the sketch words the parity of those
+    that fall on each bit, and ``prefix`` the rarest of them that must contain a common one,
+    each with its place in the order of the row's live columns.
     """
 
     def extract(batch):
@@ -82,6 +88,9 @@ def incidence(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
         rows, tokens = rows[order], tokens[order]
         starts = np.searchsorted(rows, np.arange(len(n) + 1))
         weight = np.bincount(rows, weights=df[order], minlength=len(n)) / np.maximum(n, 1)
+        parity = np.zeros((len(n), 64 * len(SKETCH)), dtype=np.uint8)
+        np.bitwise_xor.at(parity, (rows, (mix(tokens) % np.uint64(parity.shape[1])).astype(np.int64)), np.uint8(1))
+        sketch = np.packbits(parity, axis=1, bitorder="little").view(np.int64)
         live, prefix = [], []
         for i, need in enumerate(least_overlap(n)):
             own = tokens[starts[i] : starts[i + 1]]
@@ -91,11 +100,18 @@ def incidence(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
                 continue
             alone = int(n[i]) - len(own)  # columns of this row only stand first in the order
             first = own[: int(n[i] - need + 1) - alone]
-            prefix.append(np.stack([first, np.arange(alone, alone + len(first), dtype=np.uint64)], axis=1).tobytes())
+            prefix.append(np.stack([first, np.arange(len(first), dtype=np.uint64)], axis=1).tobytes())
             live.append(np.sort(own).tobytes())
         return pa.RecordBatch.from_arrays(
-            [*kept.columns, pa.array(weight), pa.array(live, pa.binary()), pa.array(prefix, pa.binary())],
-            names=["doc_id", "row_key", "n_shingles", "node", "weight", "live", "prefix"],
+            [
+                *kept.columns,
+                pa.array(weight),
+                pa.array(np.diff(starts), pa.int64()),
+                *[pa.array(np.ascontiguousarray(word)) for word in sketch.T],
+                pa.array(live, pa.binary()),
+                pa.array(prefix, pa.binary()),
+            ],
+            names=["doc_id", "row_key", "n_shingles", "node", "weight", "n_live", *SKETCH, "live", "prefix"],
         )
 
     source = docs.select(
@@ -105,7 +121,7 @@ def incidence(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
 
 
 def _postings(classes: DataFrame) -> DataFrame:
-    """(token, node, n, weight, place) of every prefix column of every class."""
+    """(token, node, weight, place) of every prefix column of every class."""
 
     def unpack(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -113,7 +129,7 @@ def _postings(classes: DataFrame) -> DataFrame:
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 part = batch.slice(lo, 1000)
-                pairs = [np.frombuffer(p, np.uint64).reshape(-1, 2) for p in part.column(3).to_pylist()]
+                pairs = [np.frombuffer(p, np.uint64).reshape(-1, 2) for p in part.column(2).to_pylist()]
                 counts = [len(p) for p in pairs]
                 flat = np.concatenate(pairs)
                 yield pa.RecordBatch.from_arrays(
@@ -121,15 +137,12 @@ def _postings(classes: DataFrame) -> DataFrame:
                         pa.array(flat[:, 0].copy().view(np.int64)),
                         pa.array(np.repeat(part.column(0).to_numpy(), counts)),
                         pa.array(np.repeat(part.column(1).to_numpy(), counts)),
-                        pa.array(np.repeat(part.column(2).to_numpy(), counts)),
                         pa.array(flat[:, 1].copy().view(np.int64)),
                     ],
-                    names=["token", "node", "n", "weight", "place"],
+                    names=["token", "node", "weight", "place"],
                 )
 
-    return classes.select("node", "n", "weight", "prefix").mapInArrow(
-        unpack, "token long, node long, n long, weight double, place long"
-    )
+    return classes.select("node", "weight", "prefix").mapInArrow(unpack, "token long, node long, weight double, place long")
 
 
 def _linked(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -164,8 +177,19 @@ def _linked(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return rows.mapInArrow(product, "a long, b long")
 
 
-def sizes_allow(n_a: Column, n_b: Column) -> Column:
-    return (100 * F.least(n_a, n_b)) >= (PERCENT * F.greatest(n_a, n_b))
+def may_link() -> Column:
+    """Whether two rows (columns ending in _a and _b) that share a column at place_a and place_b may link.
+
+    Their overlap is bounded three times: by the shorter stretch of live columns before and
+    behind the shared one (columns of one row only overlap nothing), and by the live columns in
+    which they differ, of which there are at least as many as differing bits of the sketches.
+    Every bound holds for all pairs, so no link is lost.
+    """
+    a, b = ({c: F.col(f"{c}_{x}") for c in ("place", "n", "n_live", *SKETCH)} for x in "ab")
+    stretches = F.least(a["place"], b["place"]) + F.least(a["n_live"] - a["place"], b["n_live"] - b["place"])
+    differ = sum((F.bit_count(a[w].bitwiseXOR(b[w])) for w in SKETCH), F.lit(0))
+    need = PERCENT * (a["n"] + b["n"])
+    return ((100 + PERCENT) * stretches >= need) & ((100 + PERCENT) * (a["n_live"] + b["n_live"] - differ) >= 2 * need)
 
 
 def connected(edges: DataFrame, purpose: str = "components") -> DataFrame:
@@ -220,6 +244,7 @@ def components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame
         .groupBy("node")
         .agg(
             F.first("n_shingles").alias("n"),
+            *[F.first(c).alias(c) for c in ("n_live", *SKETCH)],
             F.max("weight").alias("weight"),
             F.first("live").alias("live"),
             F.first("prefix").alias("prefix"),
@@ -252,24 +277,22 @@ def components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame
         edges = staged(found if edges is None else edges.union(found), "links")
         labels = connected(edges)
         apart = staged(_apart(_with_component(apart.drop("component"), labels)), "apart")
-    # Last, what is still apart: all pairs across components, if sizes and places allow a link.
+    # Last, what is still apart: all pairs across components that may link.
+    bounds = ("n", "n_live", *SKETCH)
+    apart = staged(apart.drop("weight").join(classes.select("node", *bounds).hint("merge"), "node"), "apart")
     most = (
         apart.groupBy("token", "component").agg(F.count(F.lit(1)).alias("_n"))
         .groupBy("token").agg(F.max(F.struct("_n", "component")).alias("_m"))
         .select("token", F.col("_m.component").alias("largest"))
     )
     minor = apart.join(most.hint("merge"), "token").where("component <> largest")
-    left = minor.select("token", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "place", "component")])
-    right = apart.select("token", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "place", "component")])
-    # Before the common column a pair shares at most the shorter stretch, behind it likewise.
-    possible = (
-        F.least("place_a", "place_b") + 1 + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) - 1
-    )
+    columns = ("node", "place", "component", *bounds)
+    left = minor.select("token", *[F.col(c).alias(f"{c}_a") for c in columns])
+    right = apart.select("token", *[F.col(c).alias(f"{c}_b") for c in columns])
     across = (
         left.join(right.hint("merge"), "token")
         .where("component_a <> component_b")
-        .where(sizes_allow(F.col("n_a"), F.col("n_b")))
-        .where((100 + PERCENT) * possible >= PERCENT * (F.col("n_a") + F.col("n_b")))
+        .where(may_link())
         .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
         .distinct()
         .join(tried.hint("merge"), ["a", "b"], "left_anti")

@@ -170,6 +170,23 @@ def test_ngram_join_links_through_no_common_hub(spark, tmp_path):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(chain)
 
 
+def test_ngram_join_of_copies_around_the_bound(spark, tmp_path):
+    """Copies of one text that is not there itself, with one to six words changed: some pairs link,
+    most do not, and all share most columns."""
+    rng = random.Random(7)
+    pairs = []
+    for k in range(120):
+        text = [f"w{i}" for i in range(rng.choice((90, 100, 110)))]
+        for _ in range(k % 6 + 1):
+            text[rng.randrange(len(text))] = rng.choice(("x", "y", f"own{k}"))
+        pairs.append((k, " ".join(text)))
+    path = str(tmp_path / "copies")
+    spark.createDataFrame(pairs, "doc_id long, text string").write.parquet(path)
+    got = ngram_join.components(spark.read.parquet(path)).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(pairs)
+    assert 1 < len({r.component_id for r in got}) < len(pairs)
+
+
 def brute_substring(pairs):
     rank = lambda d: math.inf if d is None else d
     first = {}
