@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,7 +45,24 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{purpose}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.staged_path = path
+    return table
+
+
+def released(*tables: DataFrame) -> None:
+    """Delete tables of ``staged`` that nothing reads any more.
+
+    Their readers must have been staged themselves. Spark removes shuffle files once the
+    driver has collected what refers to them, so that is asked for as well: disk then holds
+    one step of a job and not all steps so far.
+    """
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table.staged_path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    context._jvm.System.gc()
 
 
 def batch_slices(lengths, most: int) -> Iterator[tuple[int, int]]:

@@ -14,12 +14,13 @@ then across the components that remain apart. No link between different componen
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obslake.llm.common import staged
+from obslake.llm.common import released, staged
 from obslake.llm.hashing import lower_ascii, mix, shingles, utf8, word_hashes, word_spans
 from obslake.llm.repeats import shared_hashes
 
@@ -193,7 +194,7 @@ def may_link() -> Column:
 
 
 def connected(edges: DataFrame, purpose: str = "components") -> DataFrame:
-    """(node, component) of every node of ``edges`` (a, b); a component is its smallest node.
+    """Staged (node, component, old) of every node of ``edges`` (a, b); a component is its smallest node.
 
     Labels move to the smallest of the neighbours and then to their label's label; each round
     is written to the shared folder, and rounds end when no label changes.
@@ -203,10 +204,14 @@ def connected(edges: DataFrame, purpose: str = "components") -> DataFrame:
     )
     labels = staged(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("component")), purpose)
     while True:
-        near = both.join(labels.withColumnRenamed("node", "b").hint("merge"), "b").groupBy(F.col("a").alias("node")).agg(
+        near = both.join(labels.select(F.col("node").alias("b"), "component").hint("merge"), "b").groupBy(F.col("a").alias("node")).agg(
             F.min("component").alias("near")
         )
-        stepped = labels.join(near.hint("merge"), "node").select("node", F.least("component", "near").alias("component"), F.col("component").alias("old"))
+        stepped = (
+            labels.select("node", "component")
+            .join(near.hint("merge"), "node")
+            .select("node", F.least("component", "near").alias("component"), F.col("component").alias("old"))
+        )
         far = labels.select(F.col("node").alias("component"), F.col("component").alias("far"))
         stepped = staged(
             stepped.join(far.hint("merge"), "component", "left").select(
@@ -214,13 +219,15 @@ def connected(edges: DataFrame, purpose: str = "components") -> DataFrame:
             ),
             purpose,
         )
-        labels = stepped.select("node", "component")
+        released(labels)
+        labels = stepped
         if stepped.where("component <> old").isEmpty():
+            released(both)
             return labels
 
 
 def _with_component(postings: DataFrame, labels: DataFrame) -> DataFrame:
-    joined = postings.join(labels.hint("merge"), "node", "left")
+    joined = postings.join(labels.select("node", "component").hint("merge"), "node", "left")
     return joined.withColumn("component", F.coalesce("component", "node"))
 
 
@@ -238,9 +245,10 @@ def components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame
     a word, null or empty texts: no shingle, linked with nothing. Repeated rows are copies of
     each other. Other columns of ``docs`` are ignored.
     """
-    rows = incidence(docs, shingle_words)
+    matrix = incidence(docs, shingle_words)
+    rows = staged(matrix.select("doc_id", "row_key", "n_shingles", "node"), "rows")
     classes = staged(
-        rows.where("live IS NOT NULL")
+        matrix.where("live IS NOT NULL")
         .groupBy("node")
         .agg(
             F.first("n_shingles").alias("n"),
@@ -253,15 +261,16 @@ def components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame
         ),
         "classes",
     )
-    postings = _postings(classes)
-    several = postings.groupBy("token").agg(F.min("node").alias("_a"), F.max("node").alias("_b")).where("_a <> _b")
-    postings = staged(postings.join(several.select("token").hint("merge"), "token", "left_semi"), "postings")
+    released(matrix)
+    unpacked = _postings(classes)
+    several = unpacked.groupBy("token").agg(F.min("node").alias("_a"), F.max("node").alias("_b")).where("_a <> _b")
+    postings = staged(unpacked.join(several.select("token").hint("merge"), "token", "left_semi"), "postings")
 
     # First every row with the best hub among its columns, one pair a row: copies of one text differ
     # from each other more than from that text. Then once more across components.
-    edges, tried, labels = None, None, None
-    apart = postings.withColumn("component", F.col("node"))
+    edges, tried, open_ = None, [], postings
     for _ in range(HUB_ROUNDS):
+        apart = open_ if tried else postings.withColumn("component", F.col("node"))
         hubs = apart.groupBy("token").agg(F.max(F.struct("weight", "node", "component")).alias("hub"))
         pairs = staged(
             apart.join(hubs.hint("merge"), "token")
@@ -272,14 +281,17 @@ def components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame
             .distinct(),
             "pairs",
         )
-        tried = pairs if tried is None else tried.union(pairs)
+        tried.append(pairs)
         found = _linked(pairs, classes)
-        edges = staged(found if edges is None else edges.union(found), "links")
-        labels = connected(edges)
-        apart = staged(_apart(_with_component(apart.drop("component"), labels)), "apart")
+        links = staged(found if edges is None else edges.union(found), "links")
+        labels = connected(links)
+        rest = staged(_apart(_with_component(apart.drop("component"), labels)), "apart")
+        released(labels, open_, *([] if edges is None else [edges]))
+        edges, open_ = links, rest
     # Last, what is still apart: all pairs across components that may link.
     bounds = ("n", "n_live", *SKETCH)
-    apart = staged(apart.drop("weight").join(classes.select("node", *bounds).hint("merge"), "node"), "apart")
+    apart = staged(open_.drop("weight").join(classes.select("node", *bounds).hint("merge"), "node"), "apart")
+    released(open_)
     most = (
         apart.groupBy("token", "component").agg(F.count(F.lit(1)).alias("_n"))
         .groupBy("token").agg(F.max(F.struct("_n", "component")).alias("_m"))
@@ -295,20 +307,24 @@ def components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame
         .where(may_link())
         .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
         .distinct()
-        .join(tried.hint("merge"), ["a", "b"], "left_anti")
+        .join(reduce(DataFrame.union, tried).hint("merge"), ["a", "b"], "left_anti")
     )
-    edges = staged(edges.union(_linked(across, classes)), "links")
-    labels = connected(edges)
+    links = staged(edges.union(_linked(across, classes)), "links")
+    released(apart, edges, *tried)
+    labels = connected(links)
 
-    grouped = classes.select("node", "first_doc", "copies").join(labels.hint("merge"), "node", "left").withColumn(
+    grouped = classes.select("node", "first_doc", "copies").join(labels.select("node", "component").hint("merge"), "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
     smallest = grouped.groupBy("component").agg(F.min("first_doc").alias("component_id"))
     per_node = grouped.join(smallest.hint("merge"), "component").select("node", "component", "component_id", "copies")
-    return rows.select("doc_id", "row_key", "n_shingles", "node").join(per_node.hint("merge"), "node", "left").select(
+    result = rows.join(per_node.hint("merge"), "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("copies", F.lit(1)).alias("n_copies"),
         "row_key", "component",
     )
+    result = staged(result, "result")
+    released(rows, classes, links, labels)
+    return result
 
 
 def representatives(docs: DataFrame) -> DataFrame:

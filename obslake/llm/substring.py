@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obslake.llm.common import batch_slices, staged
+from obslake.llm.common import batch_slices, released, staged
 from obslake.llm.hashing import ngram_hashes, utf8, word_hashes, word_spans
 from obslake.llm.repeats import shared_hashes
 from obslake.session import ship_package
@@ -262,10 +262,11 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     document with a smaller doc_id. ``docs`` has doc_id, row_key, text."""
     spark = docs.sparkSession
     ship_package(spark)
+    anchors = shared_anchors(docs)
+    written = staged(segments(docs, anchors), "segments")
+    released(anchors)
     # What follows from the other columns is computed again rather than written.
-    found = staged(segments(docs, shared_anchors(docs)), "segments").withColumns(
-        {"seg": F.xxhash64("anchor", "words"), "owner": F.coalesce("doc_id", F.lit(NO_ID))}
-    )
+    found = written.withColumns({"seg": F.xxhash64("anchor", "words"), "owner": F.coalesce("doc_id", F.lit(NO_ID))})
     # Copies of a segment are one entry of the index, combined before the shuffle.
     distinct = staged(
         found.groupBy("seg").agg(F.first("anchor").alias("anchor"), F.first("words").alias("words"), F.min("owner").alias("owner")),
@@ -281,7 +282,11 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     hits = hits.withColumn(
         "windows", F.expr("filter(transform(smallest, (x, i) -> CASE WHEN x < owner THEN start + i END), x -> x IS NOT NULL)")
     ).where(F.size("windows") > 0)
-    return hits.groupBy("doc_id", "row_key").agg(F.array_distinct(F.flatten(F.collect_list("windows"))).alias("windows"))
+    windows = staged(
+        hits.groupBy("doc_id", "row_key").agg(F.array_distinct(F.flatten(F.collect_list("windows"))).alias("windows")), "windows"
+    )
+    released(written, distinct)
+    return windows
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
