@@ -25,6 +25,8 @@ WINDOW_WORDS = 13
 ANCHOR_WORDS = 5
 #: Distinct segments of one shard, on average.
 SHARD_SEGMENTS = 20_000
+#: Distinct segments around one anchor above which they are dealt window by window.
+HOT_SEGMENTS = 1_000
 #: Rank of a null doc_id: behind all others.
 NO_ID = 2**63 - 1
 SLICE_BYTES = 2 << 20
@@ -231,6 +233,31 @@ def segments(docs: DataFrame, shared: DataFrame) -> DataFrame:
     )
 
 
+def crowded_anchors(found: DataFrame) -> DataFrame:
+    """Anchors with many distinct segments: a phrase that stands in very many contexts."""
+    distinct = found.select("anchor", F.xxhash64("words").alias("seg")).distinct()
+    return distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_SEGMENTS).select("anchor")
+
+
+def dealt(found: DataFrame, crowded: DataFrame) -> DataFrame:
+    """``found`` with ``deal``, the hash by which segments are dealt to shards.
+
+    Segments around one anchor go to one shard. Those around a crowded anchor are first cut into
+    their windows, which are dealt by their own words: equal windows still meet.
+    """
+    spread = F.col("crowded")
+    windows = F.expr(
+        f"transform(sequence(0, cast(octet_length(words) div 4 as int) - {WINDOW_WORDS}), "
+        f"i -> struct(substring(words, 4 * i + 1, {4 * WINDOW_WORDS}) as words, start + i as start))"
+    )
+    pieces = F.when(spread, windows).otherwise(F.array(F.struct("words", "start")))
+    joined = found.join(crowded.withColumn("crowded", F.lit(True)), "anchor", "left")
+    cut = joined.select("anchor", "doc_id", "row_key", "crowded", F.explode(pieces).alias("piece")).select(
+        "anchor", "doc_id", "row_key", "crowded", "piece.words", "piece.start"
+    )
+    return cut.withColumn("deal", F.when(spread, F.xxhash64("anchor", "words")).otherwise(F.xxhash64("anchor"))).drop("crowded")
+
+
 def shard_matches(table):
     """For a shard's distinct segments (seg, words, owner): per window of a segment the smallest
     owner of any segment that holds the window, by backward search in the shard's FM-index."""
@@ -265,16 +292,17 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     anchors = shared_anchors(docs)
     written = staged(segments(docs, anchors), "segments")
     released(anchors)
+    crowded = staged(crowded_anchors(written), "crowded-anchors")
     # What follows from the other columns is computed again rather than written.
-    found = written.withColumns({"seg": F.xxhash64("anchor", "words"), "owner": F.coalesce("doc_id", F.lit(NO_ID))})
+    found = dealt(written, crowded).withColumns({"seg": F.xxhash64("anchor", "words"), "owner": F.coalesce("doc_id", F.lit(NO_ID))})
     # Copies of a segment are one entry of the index, combined before the shuffle.
     distinct = staged(
-        found.groupBy("seg").agg(F.first("anchor").alias("anchor"), F.first("words").alias("words"), F.min("owner").alias("owner")),
+        found.groupBy("seg").agg(F.first("deal").alias("deal"), F.first("words").alias("words"), F.min("owner").alias("owner")),
         "distinct-segments",
     )
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + distinct.count() // SHARD_SEGMENTS)
     matched = (
-        distinct.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+        distinct.withColumn("shard", F.pmod("deal", F.lit(shards)))
         .groupBy("shard")
         .applyInArrow(lambda t: shard_matches(t), "seg long, smallest array<long>")
     )
@@ -285,7 +313,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     windows = staged(
         hits.groupBy("doc_id", "row_key").agg(F.array_distinct(F.flatten(F.collect_list("windows"))).alias("windows")), "windows"
     )
-    released(written, distinct)
+    released(written, distinct, crowded)
     return windows
 
 

@@ -211,6 +211,13 @@ def test_substring(docs, empty):
     assert substring.without_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("most", [0, 1])
+def test_substring_with_crowded_anchors(docs, monkeypatch, most):
+    monkeypatch.setattr(substring, "HOT_SEGMENTS", most)
+    got = substring.without_repeats(docs).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got) == brute_substring([r[:2] for r in rows()])
+
+
 def test_fm_index_counts_every_pattern():
     rng = np.random.default_rng(3)
     lengths = rng.integers(1, 30, 40)
