@@ -51,18 +51,23 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def released(*tables: DataFrame) -> None:
-    """Delete tables of ``staged`` that nothing reads any more.
-
-    Their readers must have been staged themselves. Spark removes shuffle files once the
-    driver has collected what refers to them, so that is asked for as well: disk then holds
-    one step of a job and not all steps so far.
-    """
+    """Delete tables of ``staged`` that nothing reads any more (their readers must have been staged
+    themselves), and the shuffles behind what is staged."""
     for table in tables:
         context = table.sparkSession.sparkContext
         path = context._jvm.org.apache.hadoop.fs.Path(table.staged_path)
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    swept(tables[0].sparkSession)
+
+
+def swept(spark: SparkSession) -> None:
+    """Have Spark remove the shuffles of finished steps.
+
+    It does so once the driver has collected what refers to them, which may be long after;
+    disk then holds one step of a job and not all steps so far.
+    """
     gc.collect()
-    context._jvm.System.gc()
+    spark.sparkContext._jvm.System.gc()
 
 
 def batch_slices(lengths, most: int) -> Iterator[tuple[int, int]]:

@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obslake.llm.common import batch_slices, staged
+from obslake.llm.common import batch_slices, staged, swept
 from obslake.session import ship_package
 
 #: Text bytes and rows of a block; text bytes for which a bucket of hashes is planned.
@@ -117,4 +117,6 @@ def shared_hashes(docs: DataFrame, extract: Callable, finish: Callable, schema:
 
     sent = docs.mapInArrow(hashed, ROWS_SCHEMA)
     live = sent.groupBy("key").applyInArrow(counted, "block long, kind int, payload binary")
-    return staged(live.groupBy("block").applyInArrow(assembled, schema), purpose)
+    out = staged(live.groupBy("block").applyInArrow(assembled, schema), purpose)
+    swept(spark)
+    return out

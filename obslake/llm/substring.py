@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obslake.llm.common import batch_slices, released, staged
+from obslake.llm.common import batch_slices, released, staged, swept
 from obslake.llm.hashing import ngram_hashes, utf8, word_hashes, word_spans
 from obslake.llm.repeats import shared_hashes
 from obslake.session import ship_package
@@ -300,6 +300,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         found.groupBy("seg").agg(F.first("deal").alias("deal"), F.first("words").alias("words"), F.min("owner").alias("owner")),
         "distinct-segments",
     )
+    swept(spark)
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + distinct.count() // SHARD_SEGMENTS)
     matched = (
         distinct.withColumn("shard", F.pmod("deal", F.lit(shards)))
