@@ -26,7 +26,7 @@ ANCHOR_WORDS = 5
 #: Distinct segments of one shard, on average.
 SHARD_SEGMENTS = 20_000
 #: Distinct segments around one anchor above which they are dealt window by window.
-HOT_SEGMENTS = 1_000
+HOT_SEGMENTS = SHARD_SEGMENTS // 4
 #: Rank of a null doc_id: behind all others.
 NO_ID = 2**63 - 1
 SLICE_BYTES = 2 << 20
