@@ -31,13 +31,25 @@ _ENCODERS: dict = {}
 
 
 def encoder(tokenizer_path: str):
-    """Encoder of a ``tokenizers`` file. For a byte-level BPE file with its rank file beside it
-    (same name, ``.tiktoken``) the ranks are used: the ids are the same, several times faster."""
+    """Encoder of a ``tokenizers`` file: its ids, without those that the file adds around a text.
+
+    For a byte-level BPE file with its rank file beside it (same name, ``.tiktoken``) the ranks
+    are used, several times faster, for texts of which they give the same ids. Texts with an
+    added token (``<|endoftext|>``), which the ranks would spell out, and texts that the rank
+    encoder refuses (about a million blanks in one run) are encoded by ``tokenizers``."""
     if tokenizer_path not in _ENCODERS:
         import os
 
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(tokenizer_path)
+
+        def exact(text: str) -> np.ndarray:
+            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
         ranks_path = tokenizer_path.removesuffix(".json") + ".tiktoken"
-        if os.path.exists(ranks_path):
+        # With a normalizer, a text may hold an added token without holding its letters.
+        if os.path.exists(ranks_path) and tokenizer.normalizer is None:
             import base64
 
             import public_tokenizers
@@ -46,15 +58,19 @@ def encoder(tokenizer_path: str):
             with open(ranks_path, "rb") as lines:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
             bpe = tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-            _ENCODERS[tokenizer_path] = lambda text: bpe.encode_to_numpy(text, disallowed_special=())
-        else:
-            from tokenizers import Tokenizer
+            added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+
+            def encode(text: str) -> np.ndarray:
+                if any(token in text for token in added):
+                    return exact(text)
+                try:
+                    return bpe.encode_to_numpy(text, disallowed_special=())
+                except ValueError:  # the pattern's stack is bounded
+                    return exact(text)
 
-            tokenizer = Tokenizer.from_file(tokenizer_path)
-            tokenizer.encode_special_tokens = True
-            _ENCODERS[tokenizer_path] = lambda text: np.array(
-                tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32
-            )
+            _ENCODERS[tokenizer_path] = encode
+        else:
+            _ENCODERS[tokenizer_path] = exact
     return _ENCODERS[tokenizer_path]
 
 

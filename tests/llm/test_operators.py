@@ -256,6 +256,29 @@ def test_packing(docs, empty):
     assert packing.packed_documents(empty).count() == 0
 
 
+def test_packing_of_added_tokens_and_of_long_runs(spark, tmp_path):
+    """Texts that the rank encoder spells out or refuses get the ids of ``tokenizers``, with and without a rank file."""
+    import shutil
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    assert tokenizer.encode("a<|endoftext|>b", add_special_tokens=False).ids == [64, 50256, 65]
+    texts = ["a<|endoftext|>b", " <|endoftext|> \n<|endoftext|><|endoftext|>", "<|endoftext|", "a" + " " * 1_000_000 + "b", "\n" * 1_000_000]
+    want = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+    alone = str(tmp_path / "alone.json")
+    shutil.copy(path, alone)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for tokenizer_path, chosen in ((None, df), (alone, df.where("doc_id < 3"))):
+        got = {}
+        for r in sorted(packing.token_pieces(chosen, tokenizer_path).collect(), key=lambda r: (r.doc_id, r.start)):
+            assert r.doc_tokens == len(want[r.doc_id])
+            got.setdefault(r.doc_id, []).extend(np.frombuffer(r.ids, "<u4").tolist())
+        assert got == {i: want[i] for i in got} and len(got) == chosen.count()
+
+
 def sequences_of(plan, histogram):
     used = np.zeros_like(histogram)
     for lengths, repeats in plan:
