@@ -106,14 +106,17 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words that the mix takes of every document."""
+    """Words that the mix takes of every document, repeated rows each for themselves."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return (
         mixing.mix(docs)
         .withColumn("taken", mixing.taken_words())
-        .groupBy("doc_id", "source", "size", "source_size", "target", "order_key")
-        .agg(F.sum("taken").alias("taken"), F.count("slots").alias("blocks"))
-        .drop("order_key")
+        # A row with words has its own place on its source's line. Rows without words have one row each
+        # in the mix and may share a place, so as many rows come back as were counted.
+        .groupBy("doc_id", "source", "size", "source_size", "target", "order_key", "line_from")
+        .agg(F.sum("taken").alias("taken"), F.count("slots").alias("blocks"), F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_row", F.expr("explode(sequence(1L, if(size = 0, _rows, 1L)))"))
+        .drop("order_key", "line_from", "_rows", "_row")
     )
 
 

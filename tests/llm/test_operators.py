@@ -23,6 +23,7 @@ from obslake.llm import (
     ngram_join,
     packing,
     quality,
+    queries,
     substring,
     token_counts,
     topk,
@@ -331,6 +332,17 @@ def test_mixing(docs, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_source_mix_query_keeps_repeated_rows(spark, tmp_path):
+    """Wholly repeated rows, with and without words, come back one by one, none above twice its size."""
+    table = [*rows(), *[rows()[0]] * 3, *[(900, "", "en", "s1", 0)] * 3, *[(901, None, None, None, None)] * 2]
+    spark.createDataFrame(table, DOCS).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.QUERIES["op6_source_mix"](spark, str(tmp_path)).collect()
+    assert Counter((r.doc_id, r.source, r["size"]) for r in got) == Counter((d, s, len(words(t))) for d, t, _, s, _ in table)
+    assert all(0 <= r.taken <= 2 * r["size"] for r in got)
+    mixed = mixing.mix(spark.createDataFrame(table, DOCS).select("doc_id", "text", "source"))
+    assert sum(r.taken for r in got) == mixed.agg(F.sum(mixing.taken_words())).first()[0]
+
+
 def test_targets_are_shared_again():
     assert mixing.source_targets([("a", 100), ("b", 10), (None, 1000)]) == pytest.approx({"a": 200.0, "b": 20.0, None: 1445.0})
     assert mixing.source_targets([("a", 0)]) == {"a": 0.0}
