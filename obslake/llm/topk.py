@@ -136,7 +136,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
 
     Both come from ``quantised``. Only vectors of a query's own dimension are compared, and
     never a row with the query's id. Repeated rows with another id are ranked like any; fewer
-    than ``k`` candidates give fewer rows; empty tables give none.
+    than ``k`` candidates give fewer rows; empty tables give none. Repeated rows of ``queries``
+    are one query; rows with one id and other components are queries of their own, each with
+    ranks from 1.
 
     Blocks of the index are dealt to as many groups as there are shuffle partitions, and each
     group gets every block of queries once: a stated query set against all rows, block by
@@ -146,16 +148,18 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     ship_package(spark)
     groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
     index = _blocks(vectors, BLOCK_VECTORS).withColumn("slot", F.pmod(F.xxhash64("ids"), F.lit(groups)))
-    asked = _blocks(queries, QUERY_VECTORS).select(
+    asked = _blocks(queries.select("vec_id", "components").distinct(), QUERY_VECTORS).select(
         F.col("dim").alias("q_dim"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix")
     )
     asked = asked.withColumn("slot", F.explode(F.expr(f"sequence(0L, {groups - 1}L)")))
     pairs = index.join(asked.hint("merge"), "slot").where("dim = q_dim").select("dim", "ids", "matrix", "q_ids", "q_matrix")
 
     def search(batches: Iterator) -> Iterator:
+        import hashlib
+
         import pyarrow as pa
 
-        schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+        schema = pa.schema([("query_id", pa.int64()), ("query_digest", pa.binary()), ("vec_id", pa.int64()), ("score", pa.int64())])
         known: tuple = (None, None)
         for batch in batches:
             for dim, ids, matrix, q_ids, q_matrix in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
@@ -163,10 +167,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
                     known = (ids, ImpactIndex(np.frombuffer(ids, np.int64), np.frombuffer(matrix, np.int64).reshape(-1, dim)))
                 found = []
                 for query_id, query in zip(np.frombuffer(q_ids, np.int64), np.frombuffer(q_matrix, np.int64).reshape(-1, dim), strict=True):
-                    found += [(int(query_id), vec_id, score) for score, vec_id in known[1].search(query, query_id, k)]
-                columns = list(zip(*found, strict=True)) or [[], [], []]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
+                    digest = hashlib.blake2b(query.tobytes(), digest_size=16).digest()
+                    found += [(int(query_id), digest, vec_id, score) for score, vec_id in known[1].search(query, query_id, k)]
+                columns = list(zip(*found, strict=True)) or [[], [], [], []]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    best = pairs.mapInArrow(search, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
+    best = pairs.mapInArrow(search, "query_id long, query_digest binary, vec_id long, score long")
+    order = Window.partitionBy("query_id", "query_digest").orderBy(F.col("score").desc(), F.col("vec_id"))
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -377,6 +377,21 @@ def test_top_k(spark):
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_top_k_of_repeated_query_ids(spark):
+    """Repeated query rows are one query; rows of one id with other components have ranks of their own."""
+    rng = np.random.default_rng(4)
+    vectors = [(i, [int(x) for x in rng.integers(-50, 50, 6)]) for i in range(1, 60)]
+    asked = [(100, vectors[3][1])] * 3 + [(200, vectors[5][1]), (200, vectors[9][1])]
+    schema = "vec_id long, components array<bigint>"
+    df = spark.createDataFrame(vectors, schema)
+    got = topk.top_k(df, spark.createDataFrame(asked, schema).repartition(3), 5).collect()
+    want = Counter()
+    for q, v in {(q, tuple(v)) for q, v in asked}:
+        scored = sorted((-sum(a * b for a, b in zip(v, x)), i) for i, x in vectors)
+        want.update((q, n, i, -s) for n, (s, i) in enumerate(scored[:5], 1))
+    assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == want
+
+
 def test_top_k_stops_early_with_the_exact_result():
     rng = np.random.default_rng(2)
     matrix = rng.integers(-8, 8, (4000, 16))
