@@ -40,23 +40,20 @@ def with_base_rules(docs: DataFrame, text: str = "text") -> DataFrame:
         }
     ).drop("_words")
     df = df.withColumn("_windows", F.expr(_neighbours(3)))
-    # Only a text with equal windows is looked at further: one long per window, hash above and
-    # position below; sorted, equal windows are neighbours.
-    df = df.withColumn("_bits", F.length(F.bin("n_words")))
+    # Only a text with equal windows is looked at further: whole hash and position of every window;
+    # sorted, equal windows are neighbours.
     df = df.withColumn(
         "_placed",
         F.expr(
             "CASE WHEN size(array_distinct(_windows)) < size(_windows) THEN sort_array(transform(_windows, "
-            "(x, i) -> shiftleft(x, _bits) | i)) END"
+            "(x, i) -> struct(x AS h, cast(i AS bigint) AS p))) END"
         ),
     )
     df = df.withColumn(
         "_repeated",
         F.expr(
             "sort_array(transform(filter(_placed, (x, i) -> "
-            "shiftright(x, _bits) = shiftright(get(_placed, i - 1), _bits) OR "
-            "shiftright(x, _bits) = shiftright(get(_placed, i + 1), _bits)), "
-            "x -> x & (shiftleft(1L, _bits) - 1)))"
+            "x.h = get(_placed, i - 1).h OR x.h = get(_placed, i + 1).h), x -> x.p))"
         ),
     )
     covered = F.expr(
@@ -74,7 +71,7 @@ def with_base_rules(docs: DataFrame, text: str = "text") -> DataFrame:
         }
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return df.withColumn("base_failed", failed).drop("_lines", "_bits", "_windows", "_placed", "_repeated")
+    return df.withColumn("base_failed", failed).drop("_lines", "_windows", "_placed", "_repeated")
 
 
 def word_hashes(words_column: str = "_words") -> Column:

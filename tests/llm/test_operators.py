@@ -117,6 +117,15 @@ def test_quality_rules(spark, docs, empty):
     assert {r.score for r in quality.quality_rules(docs, trusted.limit(0)).collect()} == {0.0}
 
 
+def test_repeated_words_compare_whole_hashes(spark, monkeypatch):
+    """Windows whose hashes differ in their upper bits only are different windows."""
+    neighbours = quality._neighbours
+    monkeypatch.setattr(quality, "_neighbours", lambda n: f"transform({neighbours(n)}, x -> shiftleft(x, 40))")
+    text = " ".join([*(f"v{i}" for i in range(1000)), "v1 v2 v3"])
+    got = quality.with_base_rules(spark.createDataFrame([(text,)], "text string")).first()
+    assert got.n_repeat_words == base_rules(text)[4] == 6
+
+
 def test_quality_filter_is_not_pushed_into_the_arrays(spark, docs):
     trusted = spark.createDataFrame([(0,)], "doc_id long")
     plan = quality.quality_rules(docs, trusted).where("kept")._jdf.queryExecution().optimizedPlan().toString()
