@@ -4,11 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obslake.llm import langid, licences, mixing, ngram_join, packing, quality, substring, token_counts, topk, warc_zip
-from obslake.llm.common import staged, table
+from obslake.llm import (
+    langid,
+    licences,
+    mixing,
+    ngram_join,
+    packing,
+    periodic_runs,
+    quality,
+    secret_scan,
+    spelling,
+    substring,
+    token_counts,
+    topk,
+    warc_zip,
+)
+from obslake.llm.common import staged, table, words
 from obslake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,6 +170,76 @@ def op10_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zip.read_records(archives, folder).drop("payload", "url")
 
 
+@register
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word of the changed runs of letters, its near words, form and root."""
+    return spelling.variants(spelling.changed_word_counts(table(spark, sf_dir, "documents")))
+
+
+def with_planted_period(docs: DataFrame) -> DataFrame:
+    """``docs`` whose checksum of doc_id ends in 0 with their words periodic from one word on.
+
+    With g the checksum without its last digit and n words, word i from a = g % n on becomes word
+    a + (i - a) % p, p = 1 + (n - a) / (3 + g % 8) rounded down. Other texts, and those of a null
+    doc_id, stay as they are.
+    """
+    checksum = F.crc32(F.col("doc_id").cast("string"))
+    # The split words are bound to one name, so that they are split once a text.
+    bound = F.transform(F.array(words(F.col("text"))), lambda w: F.struct(w.alias("w"), F.floor(checksum / 10).alias("g")))
+    begun = F.transform(bound, lambda x: F.struct(x.w, x.g, F.expr("0").alias("zero"), (x.g % F.greatest(F.size(x.w), F.lit(1))).alias("a")))
+
+    def periodic(x):
+        n = F.size(x.w).cast("long")
+        period = F.floor((n - x.a) / (x.g % 8 + 3)) + 1
+        return F.transform(x.w, lambda word, i: F.when(i < x.a, word).otherwise(F.get(x.w, (x.a + (i - x.a) % period).cast("int"))))
+
+    planted = F.array_join(F.get(F.transform(begun, periodic), F.lit(0)), " ")
+    return docs.withColumn("text", F.when(checksum % 10 == 0, planted).otherwise(F.col("text")))
+
+
+@register
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, the longest one, and the digest of what stays."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.periodic_runs(with_planted_period(docs))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r.length, (-r.start).alias("s"), (-r.period).alias("p"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period)), "\n")
+    lines = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("")
+    best = found.withColumn("_best", longest)
+    start, length, period = -F.col("_best.s"), F.col("_best.length"), -F.col("_best.p")
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).cast("long").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
+@register
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document by kind, with the digest of the kinds that need no checksum."""
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def of(name: str) -> Column:
+        return F.size(F.filter("secrets", lambda s: s.kind == name)).cast("long").alias(f"n_{name}")
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+    base = F.filter("secrets", lambda s: s.kind.isin(*secret_scan.BASE_NAMES))
+    return found.select(
+        "doc_id",
+        *[of(name) for name in secret_scan.BASE_NAMES],
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("secrets")).alias("spans"),
+    )
+
+
 @register
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline's result over all documents."""
