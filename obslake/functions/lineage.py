@@ -32,5 +32,17 @@ def release_revision(path: Column) -> Column:
     )
 
 
+def release(path: Column) -> Column:
+    """(source_quarter, source_revision) of the path's release directory; null unless there is exactly one."""
+
+    def parts(segment: Column) -> Column:
+        quarter, revision = (F.regexp_extract(segment, RELEASE_SEGMENT_PATTERN, k) for k in (1, 2))
+        return F.struct(quarter.alias("source_quarter"), revision.cast("int").alias("source_revision"))
+
+    # Bound to a name, so that a path is split and matched once.
+    only = F.transform(F.array(release_segments(path)), lambda found: F.when(F.size(found) == 1, parts(F.get(found, F.lit(0)))))
+    return F.get(only, F.lit(0))
+
+
 def invalid_path_message(path: Column) -> Column:
     return F.concat(F.lit(INVALID_PATH_MESSAGE), F.coalesce(path.cast("string"), F.lit("<null>")))

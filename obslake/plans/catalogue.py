@@ -559,9 +559,9 @@ SELECT event_id, source_file,
 FROM paths""",
 )
 def q_lineage_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from obslake.streaming.bronze import with_release_metadata
+    from obslake.sources.landing import with_lineage
 
-    return with_release_metadata(_good_paths(spark, sf_dir)).select(
+    return with_lineage(_good_paths(spark, sf_dir)).select(
         "event_id", "source_file", "source_quarter", "source_revision"
     )
 

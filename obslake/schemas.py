@@ -28,8 +28,6 @@ UNRESOLVED_DUPLICATE: Final = "UNRESOLVED_DUPLICATE"
 SMART_COLUMN_PATTERN: Final = r"^smart_(\d+)_(raw|normalized)$"
 # One path segment naming a source release, e.g. release=2024-Q1-r2.
 RELEASE_SEGMENT_PATTERN: Final = r"^release=(\d{4}-Q[1-4])-r([1-9]\d*)$"
-# A release name as given to the sampler, e.g. 2024-Q1-r1.
-RELEASE_NAME_PATTERN: Final = r"^\d{4}-Q[1-4]-r[1-9]\d*$"
 # Simple SQL identifier accepted as a merge key.
 MERGE_KEY_PATTERN: Final = r"^[A-Za-z_][A-Za-z0-9_]*$"
 # Quarantine id parts are joined with the unit separator; a null part becomes <null>.

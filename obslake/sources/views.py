@@ -243,7 +243,9 @@ def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     fs = final_path.getFileSystem(conf)
     if not fs.exists(final_path):
         staging = f"{final}.staging-{uuid.uuid4().hex}"
-        bronze_text(spark, sf_dir).write.mode("overwrite").parquet(staging)
+        # By quarter, as releases come in: every reader has several files, a large quarter has many.
+        rows = bronze_text(spark, sf_dir).hint("rebalance", "source_quarter")
+        rows.write.mode("overwrite").partitionBy("source_quarter").parquet(staging)
         if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), final_path) and not fs.exists(final_path):
             raise RuntimeError(f"could not publish {final}")
     return spark.read.parquet(final)
