@@ -44,10 +44,9 @@ def content_hash(columns: Sequence[str]) -> Column:
     return F.sha2(json_of(columns), 256)
 
 
-def invert_hex(hex_digest: Column) -> Column:
-    """Map each lowercase hex digit d to 15-d.
+def inverted(digest: Column) -> Column:
+    """Every bit of a binary digest turned over.
 
-    For digests of equal length this reverses their order, so ``max`` over the
-    inverted value finds the smallest digest inside one ``max``/``max_by`` aggregate.
+    This reverses the order of digests, so ``max`` over it finds the smallest one.
     """
-    return F.translate(hex_digest, "0123456789abcdef", "fedcba9876543210")
+    return F.unhex(F.translate(F.hex(digest), "0123456789ABCDEF", "FEDCBA9876543210"))

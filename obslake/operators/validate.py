@@ -12,6 +12,7 @@ from obslake.functions.casts import safe_integer
 from obslake.functions.evidence import json_of_struct, quarantine_id, row_struct
 from obslake.schemas import (
     EVIDENCE_COLUMN,
+    INTERNAL_COLUMNS,
     INVALID_CAPACITY_BYTES,
     INVALID_DATE,
     INVALID_FAILURE_FLAG,
@@ -32,7 +33,7 @@ class ValidationFrames:
 
 def evidence_columns(columns: Sequence[str], exclude: Sequence[str] = VOLATILE_COLUMNS) -> list[str]:
     """Source columns serialised as raw evidence: everything but volatile lineage."""
-    return sorted(c for c in columns if c not in exclude and c != EVIDENCE_COLUMN)
+    return sorted(c for c in columns if c not in exclude and c not in INTERNAL_COLUMNS)
 
 
 def typed_columns(df: DataFrame) -> DataFrame:
@@ -82,7 +83,7 @@ def with_raw_evidence(df: DataFrame) -> DataFrame:
     raw = (
         json_of_struct(F.col(EVIDENCE_COLUMN))
         if EVIDENCE_COLUMN in df.columns
-        else json_of_struct(row_struct(evidence_columns([c for c in df.columns if not c.startswith("_")])))
+        else json_of_struct(row_struct(evidence_columns(df.columns)))
     )
     return df.withColumn("raw_record", raw).withColumn(
         "quarantine_id", quarantine_id(F.col("source_file"), F.col("source_revision"), F.col("raw_record"))

@@ -16,19 +16,22 @@ from pyspark.sql import functions as F
 from obslake.functions import lineage
 from obslake.operators.fold import explode_attributes, map_to_wide, with_smart_attributes
 from obslake.operators.merge import duplicate_keys, merge_frames
-from obslake.operators.metrics import (
-    daily_metrics,
-    daily_rollup,
-    daily_violations,
-    period_metrics,
-    period_violations,
-)
+from obslake.operators.metrics import DAILY_RULES, PERIOD_RULES, broken_rules, daily_metrics, daily_rollup, period_metrics
 from obslake.operators.resolve import precedence_rank, resolve_records, trusted_minus_conflicts
 from obslake.operators.validate import typed_columns, validate_rows, with_diagnostics
 from obslake.plans import sql as S
-from obslake.plans.pipeline import build_silver, collapse_quarantine, publishable
+from obslake.plans.pipeline import (
+    collapse_quarantine,
+    judged,
+    quarantine_contract,
+    run_gold,
+    run_silver,
+    silver_pass,
+    trusted_contract,
+    trusted_records,
+)
 from obslake.sources import views
-from obslake.sources.snapshot import read_table, replace_path
+from obslake.sources.snapshot import read_table, replace_path, replace_view, upsert_path, upsert_table
 from obslake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,27 +86,39 @@ def q_daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_rollup(q_daily_metrics(spark, sf_dir))
 
 
-@register(
-    "guard_daily",
-    f"""WITH {S.OBS}, d AS ({S.daily_sql('obs')})
-SELECT * FROM d WHERE active_drives IS NULL OR failures IS NULL OR drive_days IS NULL
-   OR active_drives < 0 OR failures < 0 OR drive_days < 0 OR failures > active_drives""",
-)
+_DAILY_COLUMNS = ["date", "model", "active_drives", "failures", "drive_days"]
+_PERIOD_COLUMNS = ["model", "unique_drives_observed", "failed_drives", "total_drive_days"]
+
+
+def _named(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*columns, F.array_join(F.array_sort("broken"), "; ").alias("broken"))
+
+
+@register("guard_daily", f"WITH {S.OBS}, d AS ({S.daily_sql('obs')}), {S.broken_sql('d', _DAILY_COLUMNS, S.DAILY_CHECKS)}")
 def q_guard_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Metrics over unresolved observations: a drive seen twice on a day can fail twice.
-    return daily_violations(q_daily_metrics(spark, sf_dir))
+    return _named(broken_rules(q_daily_metrics(spark, sf_dir), DAILY_RULES), _DAILY_COLUMNS)
+
+
+#: Damage of one period row by its drive-days: each rule is broken by some model, some rows break two.
+_DAMAGE = {
+    "unique_drives_observed": "CASE total_drive_days % 7 WHEN 0 THEN 0 WHEN 1 THEN NULL ELSE unique_drives_observed END",
+    "failed_drives": "CASE total_drive_days % 7 WHEN 2 THEN unique_drives_observed + 1 WHEN 3 THEN -failed_drives - 1 ELSE failed_drives END",
+    "failures_per_million_drive_days": "CASE total_drive_days % 7 WHEN 4 THEN NULL ELSE failures_per_million_drive_days END",
+    "total_drive_days": "CASE total_drive_days % 7 WHEN 5 THEN 0 ELSE total_drive_days END",
+}
 
 
 @register(
     "guard_period",
-    f"""WITH {S.OBS}, p AS ({S.period_sql('obs')})
-SELECT * FROM p WHERE unique_drives_observed IS NULL OR failed_drives IS NULL OR total_drive_days IS NULL
-   OR naive_failed_drive_percentage IS NULL OR failures_per_million_drive_days IS NULL
-   OR unique_drives_observed <= 0 OR failed_drives < 0 OR total_drive_days <= 0
-   OR failed_drives > unique_drives_observed""",
+    f"""WITH {S.OBS}, p AS ({S.period_sql('obs')}),
+q AS (SELECT * REPLACE ({', '.join(f'{sql} AS {c}' for c, sql in _DAMAGE.items())}) FROM p),
+{S.broken_sql('q', _PERIOD_COLUMNS, S.PERIOD_CHECKS)}""",
 )
 def q_guard_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return period_violations(q_period_metrics(spark, sf_dir))
+    """Rules that damaged period rows break."""
+    damaged = q_period_metrics(spark, sf_dir).withColumns({c: F.expr(sql) for c, sql in _DAMAGE.items()})
+    return _named(broken_rules(damaged, PERIOD_RULES), _PERIOD_COLUMNS)
 
 
 @register(
@@ -203,8 +218,7 @@ SELECT quarantine_id, source_file, source_quarter, source_revision, raw_record,
        array_to_string(reasons, ',') AS rejection_reasons FROM collapsed""",
 )
 def q_quarantine_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stage = scratch_path(spark, "conflict-keys")
-    _, quarantine = publishable(build_silver(views.bronze_table(spark, sf_dir), stage=stage))
+    quarantine = quarantine_contract(silver_pass(views.bronze_table(spark, sf_dir)).rejected)
     return quarantine.select(
         "quarantine_id",
         "source_file",
@@ -222,8 +236,7 @@ SELECT array_to_string(reasons, ',') AS rejection_reasons, COUNT(*) AS rejected_
 FROM collapsed GROUP BY reasons ORDER BY rejected_rows DESC""",
 )
 def q_rejection_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stage = scratch_path(spark, "conflict-keys")
-    _, quarantine = publishable(build_silver(views.bronze_table(spark, sf_dir), stage=stage))
+    quarantine = quarantine_contract(silver_pass(views.bronze_table(spark, sf_dir)).rejected)
     return (
         quarantine.groupBy("rejection_reasons")
         .agg(F.count(F.lit(1)).alias("rejected_rows"))
@@ -358,6 +371,11 @@ def q_resolve_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trusted rows alone: one branch, so Bronze is read once without a written step."""
+    return trusted_records(judged(views.bronze_table(spark, sf_dir)))
+
+
 _EVT_BUSINESS = ["date", "serial_number", "value_cents"]
 _EVT_EVIDENCE = sorted(_EVT_BUSINESS + ["source_file", "source_revision"])
 
@@ -389,7 +407,7 @@ def q_resolve_conflicts_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT t_date AS date, t_serial AS serial_number, source_revision, t_failure AS failure FROM trusted""",
 )
 def q_resolve_invalid_newer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trusted = build_silver(views.bronze_table(spark, sf_dir)).trusted
+    trusted = _trusted(spark, sf_dir)
     return trusted.select("date", "serial_number", "source_revision", "failure")
 
 
@@ -449,8 +467,7 @@ def _trusted_flat(trusted: DataFrame) -> DataFrame:
 
 @register("publish_projection", f"WITH {S.SILVER} {_TRUSTED_VIEW}")
 def q_publish_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trusted, _ = publishable(build_silver(views.bronze_table(spark, sf_dir)))
-    return _trusted_flat(trusted)
+    return _trusted_flat(trusted_contract(_trusted(spark, sf_dir)))
 
 
 @register(
@@ -458,8 +475,7 @@ def q_publish_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {S.SILVER}, flat AS ({_TRUSTED_VIEW}) SELECT * FROM flat ORDER BY date, serial_number LIMIT 20",
 )
 def q_trusted_head(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trusted, _ = publishable(build_silver(views.bronze_table(spark, sf_dir)))
-    return _trusted_flat(trusted).orderBy("date", "serial_number").limit(20)
+    return _trusted_flat(trusted_contract(_trusted(spark, sf_dir))).orderBy("date", "serial_number").limit(20)
 
 
 _ORDERS_SQL = """
@@ -518,6 +534,75 @@ def q_upsert_null_safe_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_frames(target, source, ["o_orderkey", "priority_key"])
 
 
+def _orders_by_year(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The two loads with the year of the order, which never changes, as partition."""
+    target, source = _orders(spark, sf_dir)
+    return tuple(df.withColumn("order_year", F.year("order_date")) for df in (target, source))
+
+
+def _by_year_sql(extra: str = "") -> str:
+    return f"""WITH {_ORDERS_SQL}, merged AS (
+SELECT *{', CAST(NULL AS VARCHAR) AS corrected' if extra else ''} FROM target t WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.o_orderkey = t.o_orderkey)
+UNION ALL SELECT *{extra} FROM source)
+SELECT *, CAST(year(order_date) AS INTEGER) AS order_year FROM merged"""
+
+
+_YEAR_KEYS = ("o_orderkey", "order_year")
+
+
+@register("upsert_path_update", _by_year_sql())
+def q_upsert_path_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partitioned path: the later batch rewrites the years that it touches."""
+    path = scratch_path(spark, "orders")
+    for rows in _orders_by_year(spark, sf_dir):
+        upsert_path(spark, rows, path, _YEAR_KEYS, ("order_year",))
+    return read_table(spark, path)
+
+
+@register("upsert_path_replay", _upsert_sql(["o_orderkey"]))
+def q_upsert_path_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A path without partitions; the later batch comes twice."""
+    path = scratch_path(spark, "orders")
+    target, source = _orders(spark, sf_dir)
+    for rows in (target, source, source):
+        upsert_path(spark, rows, path, ["o_orderkey"])
+    return read_table(spark, path)
+
+
+@register("upsert_path_new_column", _by_year_sql(", CASE WHEN order_date < DATE '1998-01-01' THEN 'yes' ELSE 'no' END AS corrected"))
+def q_upsert_path_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The later batch has a column that the table did not have."""
+    path = scratch_path(spark, "orders")
+    target, source = _orders_by_year(spark, sf_dir)
+    upsert_path(spark, target, path, _YEAR_KEYS, ("order_year",))
+    corrected = F.when(F.col("order_date") < "1998-01-01", "yes").otherwise("no")
+    upsert_path(spark, source.withColumn("corrected", corrected), path, _YEAR_KEYS, ("order_year",))
+    return read_table(spark, path)
+
+
+@register("upsert_table_partitions", _by_year_sql(", CASE WHEN order_date < DATE '1998-01-01' THEN 'yes' ELSE 'no' END AS corrected"))
+def q_upsert_table_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of the session catalog: created, upserted with a new column, and upserted once more."""
+    location = scratch_path(spark, "orders-table")
+    name = f"orders_{location[-12:]}"
+    target, source = _orders_by_year(spark, sf_dir)
+    corrected = F.when(F.col("order_date") < "1998-01-01", "yes").otherwise("no")
+    for rows in (target, source.withColumn("corrected", corrected), source.withColumn("corrected", corrected)):
+        upsert_table(spark, rows, name, _YEAR_KEYS, ("order_year",), location)
+    return spark.table(name)
+
+
+@register("replace_table_view", f"WITH {S.OBS} {S.daily_sql('obs')}")
+def q_replace_table_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view of the session catalog that is pointed from one snapshot, with other columns, to the next."""
+    location = scratch_path(spark, "daily-table")
+    name = f"daily_{location[-12:]}"
+    daily = daily_metrics(views.observations(spark, sf_dir))
+    replace_view(daily.select("date", "model").where("date < '1995-01-01'"), name, location=location)
+    replace_view(daily, name, location=location)
+    return spark.table(name)
+
+
 @register("publish_replace", f"WITH {S.OBS} {S.daily_sql('obs')}")
 def q_publish_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "gold-daily")
@@ -610,18 +695,23 @@ def q_lineage_bad_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "run_summary",
-    f"""WITH {S.SILVER}
+    f"""WITH {S.SILVER},
+day AS (SELECT DISTINCT t_date, model FROM trusted),
+models AS (SELECT DISTINCT model FROM trusted WHERE t_date BETWEEN DATE '{S.PERIOD_START}' AND DATE '{S.PERIOD_END}')
 SELECT 'bronze_rows' AS counter, COUNT(*) AS value FROM brz
+UNION ALL SELECT 'valid_rows', COUNT(*) FROM diag WHERE len(reasons) = 0
+UNION ALL SELECT 'invalid_rows', COUNT(*) FROM diag WHERE len(reasons) > 0
+UNION ALL SELECT 'warned_rows', COUNT(*) FROM diag WHERE len(warnings) > 0
 UNION ALL SELECT 'trusted_rows', COUNT(*) FROM trusted
-UNION ALL SELECT 'quarantine_rows', COUNT(*) FROM collapsed""",
+UNION ALL SELECT 'quarantine_rows', COUNT(*) FROM collapsed
+UNION ALL SELECT 'silver_rows', COUNT(*) FROM trusted
+UNION ALL SELECT 'daily_rows', COUNT(*) FROM day
+UNION ALL SELECT 'period_rows', COUNT(*) FROM models""",
 )
 def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = views.bronze_table(spark, sf_dir)
-    trusted, quarantine = publishable(build_silver(bronze))
-
-    def counter(name: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(name).alias("counter"), "value")
-
-    return counter("bronze_rows", bronze).unionByName(counter("trusted_rows", trusted)).unionByName(
-        counter("quarantine_rows", quarantine)
-    )
+    """Counts that a Silver and a Gold run observe while they write."""
+    base = scratch_path(spark, "run-summary")
+    counts = run_silver(spark, views.bronze_table(spark, sf_dir), f"{base}/trusted", f"{base}/quarantine", trusted_partitions=())
+    silver = read_table(spark, f"{base}/trusted")
+    counts |= run_gold(spark, silver, f"{base}/daily", f"{base}/period", *PERIOD)
+    return spark.createDataFrame(sorted(counts.items()), "counter string, value long")

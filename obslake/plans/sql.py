@@ -154,3 +154,26 @@ def resolved_sql(source: str, business: list[str], name: str) -> str:
                    FROM {name}_ranked WHERE rk = 1 GROUP BY date, serial_number),
 {name}_top AS (SELECT r.*, v.versions FROM {name}_ranked r JOIN {name}_verdict v USING (date, serial_number)
                WHERE r.rk = 1)"""
+
+
+#: (rule, what holds for a sound row), said apart from the library's rules.
+DAILY_CHECKS = {
+    "failures lie between 0 and active drives": "sign(failures) + 1 > 0 AND greatest(failures, active_drives) = active_drives",
+    "drive-days are counted": "drive_days = abs(drive_days)",
+}
+PERIOD_CHECKS = {
+    "failed drives lie between 0 and drives seen": "sign(failed_drives) + 1 > 0 AND unique_drives_observed - failed_drives >= 0",
+    "some drive is seen": "sign(unique_drives_observed) = 1",
+    "some drive-day is seen": "sign(total_drive_days) = 1",
+    "both rates exist": "isfinite(naive_failed_drive_percentage + failures_per_million_drive_days)",
+}
+
+
+def broken_sql(source: str, columns: list[str], checks: dict[str, str]) -> str:
+    """CTEs and the final statement that name the checks which rows of ``source`` do not pass."""
+    each = " UNION ALL ".join(
+        f"SELECT *, '{rule}' AS rule FROM {source} WHERE NOT coalesce({holds}, false)" for rule, holds in checks.items()
+    )
+    listed = ", ".join(columns)
+    return f"""failing AS ({each})
+SELECT {listed}, string_agg(rule, '; ' ORDER BY rule) AS broken FROM failing GROUP BY {listed}"""

@@ -34,15 +34,20 @@ MERGE_KEY_PATTERN: Final = r"^[A-Za-z_][A-Za-z0-9_]*$"
 ID_SEPARATOR: Final = "\u001f"
 NULL_SENTINEL: Final = "<null>"
 INVALID_PATH_MESSAGE: Final = "Source path must contain release=YYYY-QN-rN: "
-# ---------------------------------------------------------------------------
 
+# Keys, precedence, column lists and declared types of the published tables.
 BUSINESS_KEYS: Final = ("date", "serial_number")
 PRECEDENCE_COLUMNS: Final = ("source_revision", "file_modification_time", "source_file")
 # Columns that change when the same file is ingested again; kept out of evidence
 # JSON and of the business content fingerprint so that ids survive a Bronze rebuild.
 VOLATILE_COLUMNS: Final = ("file_modification_time", "ingested_at")
 RESCUED_COLUMN: Final = "_rescued_data"
+# Columns that the library adds on the way: the untyped source values of a row, the digest of its
+# business content, its rejection reasons.
 EVIDENCE_COLUMN: Final = "_evidence"
+DIGEST_COLUMN: Final = "_digest"
+REASONS_COLUMN: Final = "rejection_reasons"
+INTERNAL_COLUMNS: Final = (EVIDENCE_COLUMN, DIGEST_COLUMN, REASONS_COLUMN)
 
 REQUIRED_BRONZE_COLUMNS: Final = frozenset(
     {"date", "serial_number", "capacity_bytes", "failure", "source_file", "source_revision"}
@@ -107,6 +112,7 @@ QUARANTINE_COLUMNS: Final = (
     "raw_record",
     "rejection_reasons",
 )
+# ---------------------------------------------------------------------------
 
 
 def require_columns(columns: list[str], required: frozenset[str], label: str) -> None:
