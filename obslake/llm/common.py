@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +50,13 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return table
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, Callable[[str], Column]]:
+    """``docs`` with columns named by their number, so that no column that a step adds meets one of
+    them, and a function that gives the column of an old name."""
+    place = {name.lower(): i for i, name in enumerate(docs.columns)}
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]), lambda name: F.col(f"c{place[name.lower()]}")
+
+
 def released(*tables: DataFrame) -> None:
     """Delete tables of ``staged`` that nothing reads any more (their readers must have been staged
     themselves), and the shuffles behind what is staged."""

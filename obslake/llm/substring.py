@@ -15,8 +15,9 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from obslake.llm.common import batch_slices, released, staged, swept
+from obslake.llm.common import batch_slices, numbered, released, staged, swept
 from obslake.llm.hashing import ngram_hashes, utf8, word_hashes, word_spans
 from obslake.llm.repeats import shared_hashes
 from obslake.session import ship_package
@@ -53,18 +54,22 @@ class FmIndex:
         counts = np.bincount(text[~mark] - count, minlength=self.size)
         self.first = count + np.cumsum(counts) - counts
         # End marks are never searched for: one symbol, the largest, stands for them all.
+        self.counts = counts
         self.levels = _wavelet_matrix(np.where(before >= count, before - count, self.size), self.size + 1)
+        # Where each symbol's stretch begins behind the last level: it depends on the symbol alone.
+        self.starts = np.zeros(self.size, dtype=np.int64)
+        self.starts = self._walked(np.arange(self.size), self.starts)
+
+    def _walked(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """``at`` carried through the levels along ``symbol``."""
+        for shift, (packed, ones, zeros) in zip(range(len(self.levels) - 1, -1, -1), self.levels, strict=True):
+            before = _ones_before(packed, ones, at)
+            at = np.where((symbol >> shift) & 1 == 1, zeros + before, at - before)
+        return at
 
     def rank(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Occurrences of ``symbol`` in the transform before ``at``."""
-        low = np.zeros(len(at), dtype=np.int64)
-        high = at
-        for shift, (packed, ones, zeros) in zip(range(len(self.levels) - 1, -1, -1), self.levels, strict=True):
-            bit = (symbol >> shift) & 1 == 1
-            low_ones, high_ones = _ones_before(packed, ones, low), _ones_before(packed, ones, high)
-            low = np.where(bit, zeros + low_ones, low - low_ones)
-            high = np.where(bit, zeros + high_ones, high - high_ones)
-        return high - low
+        return self._walked(symbol, at) - self.starts[symbol]
 
     def extend(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Suffix ranges after one more symbol on the left (empty where low >= high)."""
@@ -73,11 +78,16 @@ class FmIndex:
         return first + both[: len(low)], first + both[len(low) :]
 
     def window_ranges(self, symbols: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Suffix range of each window of ``length`` symbols of ``symbols`` at ``starts``."""
-        low = np.zeros(len(starts), dtype=np.int64)
-        high = np.full(len(starts), len(self.order), dtype=np.int64)
-        for k in range(length - 1, -1, -1):
-            low, high = self.extend(symbols[starts + k], low, high)
+        """Suffix range of each window of ``length`` symbols of ``symbols`` at ``starts``.
+
+        The windows are windows of the indexed sequences. A window is done once its end is found in one
+        place only: what it gets is the range of that end, one suffix of its own sequence.
+        """
+        last = symbols[starts + length - 1]
+        low, high = self.first[last], self.first[last] + self.counts[last]
+        for k in range(length - 2, -1, -1):
+            more = np.flatnonzero(high - low > 1)
+            low[more], high[more] = self.extend(symbols[starts[more] + k], low[more], high[more])
         return low, high
 
 
@@ -164,7 +174,7 @@ def shared_anchors(docs: DataFrame) -> DataFrame:
         rows, tokens = rows[order], tokens[order] & np.uint64((1 << 40) - 1)
         present = np.unique(rows)
         starts = np.searchsorted(rows, present)
-        ends = np.append(starts[1:], len(rows))
+        ends = np.append(starts[1:], len(rows))[: len(starts)]  # no row may have any
         return pa.RecordBatch.from_arrays(
             [
                 kept.column("doc_id").take(pa.array(present)),
@@ -273,7 +283,8 @@ def shard_matches(table):
     offsets = np.cumsum(lengths) - lengths
     starts = np.repeat(offsets - (np.cumsum(windows) - windows), windows) + np.arange(windows.sum())
     low, high = index.window_ranges(symbols, starts, WINDOW_WORDS)
-    # Equal windows have one range, different ones disjoint ranges.
+    # Equal windows have one range, different ones disjoint ranges; of windows that are done early those
+    # with one range end in the same place.
     ranges, which = np.unique(low, return_inverse=True)
     tops = np.zeros(len(ranges), dtype=np.int64)
     tops[which] = high
@@ -329,14 +340,12 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     ship_package(docs.sparkSession)
     own = ["n_words", "n_removed", "kept_text"]
     docs = docs.drop(*own)
-    keyed = docs.withColumn("_row_key", F.xxhash64(F.col("text").cast("string")))
-    light = keyed.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("_row_key").alias("row_key"), F.col("text").cast("string").alias("text")
-    )
-    windows = repeated_windows(light).select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"), "windows")
-    joined = keyed.join(
-        windows.hint("merge"), (F.col("_row_key") == F.col("_key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left"
-    )
+    plain, col = numbered(docs)
+    doc_id, text = col("doc_id").cast("long"), col("text").cast("string")
+    keyed = plain.withColumn("row_key", F.xxhash64(text))
+    windows = repeated_windows(keyed.select(doc_id.alias("doc_id"), "row_key", text.alias("text")))
+    windows = windows.select(F.col("doc_id").alias("id"), F.col("row_key").alias("key"), "windows")
+    joined = keyed.join(windows.hint("merge"), (F.col("row_key") == F.col("key")) & doc_id.eqNullSafe(F.col("id")), "left")
 
     def strip(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -364,6 +373,6 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             )
 
     rest = docs.columns
-    source = joined.select(*rest, F.col("text").cast("string").alias("_text"), "windows")
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + ["n_words long, n_removed long, kept_text string"])
-    return source.mapInArrow(strip, schema)
+    source = joined.select(*plain.columns, text.alias("text"), "windows")
+    results = [StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept_text", StringType())]
+    return source.mapInArrow(strip, StructType([*docs.schema.fields, *results]))
