@@ -60,46 +60,51 @@ class ImpactIndex:
                 last.append(values.max())
                 postings.append(part)
         self.dims, self.postings = np.array(dims), postings
+        self.sizes = np.array([len(p) for p in postings], dtype=np.int64)
         self.first, self.last = np.array(first, dtype=np.int64), np.array(last, dtype=np.int64)
         self.low, self.high = low, high
 
-    def search(self, query: np.ndarray, query_id: int, k: int) -> list[tuple[int, int]]:
-        """The ``k`` best (score, vec_id), ties to the smaller id, without the query's own id."""
+    def search(self, query: np.ndarray, query_id: int, k: int, at_least: int | None = None) -> list[tuple[int, int]]:
+        """The ``k`` best (score, vec_id), ties to the smaller id, without the query's own id.
+
+        ``at_least``: a score that ``k`` candidates of other blocks reach. Vectors that cannot reach it
+        are left out, and a block none of whose segments add up to it is not processed.
+        """
         n = len(self.ids)
         weight = query[self.dims]
         a, b = weight * self.first, weight * self.last
         least, most = np.minimum(a, b), np.maximum(a, b)
         floor = np.minimum(query * self.low, query * self.high)  # per dimension: the least contribution
         impact, reach = least - floor[self.dims], most - floor[self.dims]
-        order = np.argsort(-reach, kind="stable")
-        # What a dimension can still add once its best segments are done: its next reach.
-        rest = np.zeros(len(query), dtype=np.int64)
-        np.maximum.at(rest, self.dims, reach)
-        slack = np.zeros(len(query), dtype=np.int64)  # reach above impact within the processed segments
-        by_dim = [list(order[self.dims[order] == d]) for d in range(len(query))]
-        at = [0] * len(query)
-        gained = np.zeros(n, dtype=np.int64)
         own = self.ids == query_id
         want = min(k, n - int(own.sum()))
-        if want <= 0:
+        # Every vector lies within [gained, gained + bound]: a dimension either has the vector's segment
+        # processed (then reach above impact is open) or still to come (then all of its reach).
+        open_ = reach.copy()
+        most_open = np.zeros(len(query), dtype=np.int64)
+        np.maximum.at(most_open, self.dims, open_)
+        needed = -1 if at_least is None else at_least - int(floor.sum())
+        if want <= 0 or most_open.sum() < needed:
             return []
+        order = np.argsort(-reach, kind="stable")
+        gained = np.zeros(n, dtype=np.int64)
         members = np.flatnonzero(~own)
-        for i, segment in enumerate(order, start=1):
-            d = self.dims[segment]
-            if impact[segment]:
-                gained[self.postings[segment]] += impact[segment]
-            slack[d] = max(slack[d], reach[segment] - impact[segment])
-            at[d] += 1
-            rest[d] = reach[by_dim[d][at[d]]] if at[d] < len(by_dim[d]) else 0
-            if i % LOOK_EVERY == 0 or i == len(order):
-                # Every vector lies within [gained, gained + sum(max(rest, slack))]: a dimension either
-                # has its segment processed (slack) or still to come (rest).
-                bound = int(np.maximum(rest, slack).sum())
-                reachable = gained[members]
-                worst_kept = np.partition(reachable, len(reachable) - want)[len(reachable) - want]
-                members = members[reachable + bound >= worst_kept]
-                if len(members) <= max(4 * k, MEMBERS_SHARE * n):
-                    break
+        for low in range(0, len(order), LOOK_EVERY):
+            part = order[low : low + LOOK_EVERY]
+            adding = part[impact[part] > 0]
+            if len(adding):
+                # Sums of whole numbers far below 2**53, so exact as doubles.
+                each = np.repeat(impact[adding], self.sizes[adding])
+                gained += np.bincount(np.concatenate([self.postings[s] for s in adding]), each, n).astype(np.int64)
+            open_[part] -= impact[part]
+            most_open[:] = 0
+            np.maximum.at(most_open, self.dims, open_)
+            bound = int(most_open.sum())
+            reachable = gained[members]
+            worst_kept = np.partition(reachable, len(reachable) - want)[len(reachable) - want] if len(reachable) >= want else 0
+            members = members[reachable + bound >= max(worst_kept, needed)]
+            if len(members) <= max(4 * k, MEMBERS_SHARE * n):
+                break
         scores = self.matrix[members] @ query
         best = np.lexsort((self.ids[members], -scores))[:want]
         return [(int(scores[j]), int(self.ids[members[j]])) for j in best]
@@ -161,6 +166,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
 
         schema = pa.schema([("query_id", pa.int64()), ("query_digest", pa.binary()), ("vec_id", pa.int64()), ("score", pa.int64())])
         known: tuple = (None, None)
+        reached: dict[tuple, list[int]] = {}  # per query the best scores of the blocks so far
         for batch in batches:
             for dim, ids, matrix, q_ids, q_matrix in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 if known[0] != ids:
@@ -168,7 +174,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
                 found = []
                 for query_id, query in zip(np.frombuffer(q_ids, np.int64), np.frombuffer(q_matrix, np.int64).reshape(-1, dim), strict=True):
                     digest = hashlib.blake2b(query.tobytes(), digest_size=16).digest()
-                    found += [(int(query_id), digest, vec_id, score) for score, vec_id in known[1].search(query, query_id, k)]
+                    scores = reached.setdefault((int(query_id), digest), [])
+                    best = known[1].search(query, query_id, k, scores[k - 1] if len(scores) >= k else None)
+                    scores[:] = sorted([*scores, *[score for score, _ in best]], reverse=True)[:k]
+                    found += [(int(query_id), digest, vec_id, score) for score, vec_id in best]
                 columns = list(zip(*found, strict=True)) or [[], [], [], []]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
