@@ -14,8 +14,9 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from obslake.llm.common import staged, words
+from obslake.llm.common import numbered, staged, words
 from obslake.session import ship_package
 
 GOLDEN = 0.6180339887498949
@@ -124,8 +125,9 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", block_words
     spark = docs.sparkSession
     own = ["size", "source_size", "target", "block", "block_from", "block_to", "slots", "order_key", "line_from"]
     docs = docs.drop(*own)
-    sized = docs.withColumn("size", F.size(words(F.col(text))).cast("long"))
-    light = sized.select("size", F.col(source).alias("_source"))
+    plain, col = numbered(docs)
+    sized = plain.withColumn("size", F.size(words(col(text))).cast("long"))
+    light = sized.select("size", col(source).alias("_source"))
     totals = light.groupBy("_source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("docs")).collect()
     target = source_targets([(r["_source"], r["size"]) for r in totals])
     plan = []
@@ -134,23 +136,25 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", block_words
         needed = target[r["_source"]] * blocks / r["size"] if r["size"] else 0.0
         buckets = 1 + r["docs"] // BUCKET_DOCS
         plan.append((r["_source"], no, r["size"], float(target[r["_source"]]), blocks, needed, buckets))
+    # Written and read back, its size is known: Spark broadcasts it if it is under its threshold.
     sources = spark.createDataFrame(
         plan,
         f"_source {docs.schema[source].dataType.simpleString()}, source_no long, source_size long, "
         "target double, blocks long, needed double, buckets long",
     )
+    sources = staged(sources, "source-targets")
     # The k-th slot of a source takes block k mod blocks; a block is taken twice at most.
     taken = (
         slot_counts(spark, [p[5] for p in plan])
-        .join(F.broadcast(sources.select("source_no", "blocks")), "source_no")
+        .join(sources.select("source_no", "blocks"), "source_no")
         .where(F.col("rank") < MOST_REPEATS * F.col("blocks"))
         .groupBy("source_no", (F.col("rank") % F.col("blocks")).alias("block"))
         .agg(F.sort_array(F.collect_list("slot")).alias("slots"))
     )
     # Words before each document in its source's shuffled order: within a bucket of the order by a
     # window, before the bucket by the buckets' sums; a hot source spreads over many buckets.
-    order = _order([c for c, t in docs.dtypes if not t.startswith("map")])
-    placed = sized.join(F.broadcast(sources), F.col(source).eqNullSafe(F.col("_source"))).withColumns(
+    order = _order([c for c, t in plain.dtypes if not t.startswith("map")])
+    placed = sized.join(sources, col(source).eqNullSafe(F.col("_source"))).withColumns(
         {"order_key": order, "_bucket": F.pmod(F.shiftrightunsigned(order, 20), F.col("buckets"))}
     )
     bucket_sums = placed.select("source_no", "_bucket", "size").groupBy("source_no", "_bucket").agg(F.sum("size").alias("_n"))
@@ -158,7 +162,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", block_words
     starts = bucket_sums.select(
         "source_no", "_bucket", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_bucket_start")
     )
-    within = Window.partitionBy("source_no", "_bucket").orderBy("order_key", *[c for c, t in docs.dtypes if c == "doc_id"])
+    within = Window.partitionBy("source_no", "_bucket").orderBy("order_key", *[col(c) for c in docs.columns if c == "doc_id"])
     placed = (
         placed.withColumn("_end", F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)))
         .join(starts, ["source_no", "_bucket"])
@@ -179,7 +183,8 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", block_words
         }
     )
     spread = spread.withColumn("line_from", F.col("_from"))
-    return spread.join(taken, ["source_no", "block"], "left").select(*docs.columns, *own)
+    named = [col(c).alias(c) for c in docs.columns]
+    return spread.join(taken, ["source_no", "block"], "left").select(*named, *own)
 
 
 def taken_words() -> Column:
@@ -193,17 +198,20 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     joined by one space, and ``n_chars`` (if there) follows the text. Documents of which
     nothing is taken, or without words, are left out."""
     ship_package(docs.sparkSession)
-    keyed = docs.withColumn("_row_key", F.xxhash64(F.col("text").cast("string")))
-    light = mix(keyed.select("doc_id", "source", "_row_key", "text")).where("slots IS NOT NULL")
+    plain, col = numbered(docs)
+    keyed = plain.withColumn("row_key", F.xxhash64(col("text").cast("string")))
+    light = mix(keyed.select(col("doc_id").alias("doc_id"), col("source").alias("source"), "row_key", col("text").alias("text")))
     span = F.struct("line_from", "block_from", "block_to", F.size("slots").alias("times"), "size")
     taken = (
-        light.groupBy("doc_id", "_row_key")
-        .agg(F.sort_array(F.collect_list(span)).alias("_spans"))
-        .select(F.col("doc_id").alias("_id"), F.col("_row_key").alias("_key"), "_spans")
+        light.where("slots IS NOT NULL")
+        .groupBy("doc_id", "row_key")
+        .agg(F.sort_array(F.collect_list(span)).alias("spans"))
+        .select(F.col("doc_id").alias("id"), F.col("row_key").alias("key"), "spans")
     )
-    same = (F.col("_row_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    same = (F.col("row_key") == F.col("key")) & col("doc_id").eqNullSafe(F.col("id"))
     # Repeated rows share one entry, with the spans of each of them.
-    joined = keyed.dropDuplicates(["doc_id", "_row_key"]).join(taken.hint("merge"), same).select(*docs.columns, "_spans")
+    once = keyed.withColumn("one", col("doc_id")).dropDuplicates(["one", "row_key"])
+    joined = once.join(taken.hint("merge"), same).select(*plain.columns, "spans")
     names, at = docs.columns, docs.columns.index("text")
 
     def cut(batches: Iterator) -> Iterator:
@@ -228,10 +236,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
                     columns[names.index("n_chars")] = pa.array([len(t) for t in texts], pa.int64())
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    schema = ", ".join(
-        f"`{f.name}` {'long' if f.name == 'n_chars' else f.dataType.simpleString()}" for f in docs.schema
-    )
-    return joined.mapInArrow(cut, schema)
+    kinds = [StructField(f.name, LongType() if f.name == "n_chars" else f.dataType) for f in docs.schema]
+    return joined.mapInArrow(cut, StructType(kinds))
 
 
 def _runs(spans: list[dict]) -> Iterator[tuple[int, int, int]]:

@@ -130,7 +130,7 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("doc_id", "source", "size", "source_size", "target", "order_key", "line_from")
         .agg(F.sum("taken").alias("taken"), F.count("slots").alias("blocks"), F.count(F.lit(1)).alias("_rows"))
         .withColumn("_row", F.expr("explode(sequence(1L, if(size = 0, _rows, 1L)))"))
-        .drop("order_key", "line_from", "_rows", "_row")
+        .select("doc_id", "size", "source_size", "target", "taken", "source", "blocks")
     )
 
 
@@ -139,7 +139,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules, score and verdict of every document."""
     trusted = quality.trusted_documents(table(spark, sf_dir, "labels"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality.quality_rules(docs, trusted).drop("text")
+    judged = quality.quality_rules(docs, trusted).drop("text")
+    return judged.select(*[c for c in judged.columns if c != "score"], "score")
 
 
 @register
@@ -167,7 +168,9 @@ def op10_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written as a WARC record into ZIP archives, and read back from them."""
     folder = warc_zip.archive_folder(spark)
     archives = warc_zip.write_archives(table(spark, sf_dir, "pages"), folder)
-    return warc_zip.read_records(archives, folder).drop("payload", "url")
+    records = warc_zip.read_records(archives, folder).drop("payload", "url")
+    first = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return records.select(*first, *[c for c in records.columns if c not in first])
 
 
 @register

@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from obslake.llm import periodic_runs, queries, secret_scan, spelling
+from obslake.llm import mixing, periodic_runs, queries, secret_scan, spelling, substring, topk
 from tests.conftest import SF_SMALL
 from tests.llm.test_operators import DOCS, prose, words
 from tests.llm.test_operators import rows as odd_rows
@@ -424,3 +424,42 @@ def test_bidirectional_ranks_stay_in_step():
         assert set(map(int, found)) == places
         behind = index.rightwards.order[m.right[0] : m.right[0] + m.size[0]]
         assert {len(text) - int(x) - len(piece) for x in behind} == places
+
+
+# ------------------------------------------------------------------ earlier operators
+
+
+INTERNAL_NAMES = ("windows", "_text", "_row_key", "row_key", "c0", "blocks", "buckets", "needed", "source_no", "_source", "_spans", "spans", "key", "id", "one")
+
+
+def test_substring_and_mix_keep_columns_named_like_their_own(spark, tmp_path):
+    """Extra columns under any of the steps' names come through unchanged, and change no result."""
+    plain = written(spark, tmp_path, odd_rows())
+    named = plain.withColumns({name: F.concat(F.lit(name), F.col("doc_id").cast("string")) for name in INTERNAL_NAMES})
+    for operator in (substring.without_repeats, mixing.mixed_documents):
+        got, expected = operator(named), operator(plain)
+        assert Counter(map(tuple, got.select(*expected.columns).collect())) == Counter(map(tuple, expected.collect()))
+        for r in got.select("doc_id", *INTERNAL_NAMES).collect():
+            assert r.doc_id is None or all(r[name] == f"{name}{r.doc_id}" for name in INTERNAL_NAMES)
+    columns = mixing.mix(named).columns
+    assert [c for c in columns if c in INTERNAL_NAMES] == list(INTERNAL_NAMES)
+
+
+def test_topk_blocks_are_left_out_only_on_proof():
+    """With the k-th best of other blocks known, a block gives all of its candidates that reach it."""
+    rng = np.random.default_rng(12)
+    skipped = 0
+    for trial in range(60):
+        matrix = rng.integers(-200, 200, (rng.integers(1, 300), 8))
+        if trial % 3 == 0:
+            matrix = matrix // 50 * 50  # many equal scores
+        ids = rng.permutation(len(matrix)).astype(np.int64)
+        index, query = topk.ImpactIndex(ids, matrix), rng.integers(-200, 200, 8)
+        scores = matrix @ query
+        every = sorted(((-int(s), int(i)) for s, i in zip(scores, ids) if i != 3))
+        for at_least in (None, int(np.quantile(scores, 0.9)), int(scores.max()), int(scores.max()) + 1, 10**7):
+            got = index.search(query, 3, 5, at_least)
+            best = [(-s, i) for s, i in every[:5]]
+            assert [x for x in got if at_least is None or x[0] >= at_least] == [x for x in best if at_least is None or x[0] >= at_least]
+            skipped += got == [] and bool(every)
+    assert skipped >= 60
