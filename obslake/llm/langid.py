@@ -21,11 +21,12 @@ from obslake.session import ship_package
 
 #: Letters of an n-gram (words are set apart by one space).
 GRAM = 4
-#: Least share of a language's n-grams that one must have to be learned. At most 1 / LEAST_SHARE
-#: n-grams of a language pass it, so the filter's size is bounded whatever the corpus.
-LEAST_SHARE = 2e-5
-SLOTS_PER_GRAM = 16
+#: Slots of the filter, whatever the corpus: every n-gram of every text is in it, and more n-grams only
+#: raise the false positive rates that the counts are corrected for.
+SLOTS = 1 << 22
 HASHES = 4
+#: Most languages (distinct values of lang): with SLOTS it bounds the filter to 256 MB.
+MOST_LANGUAGES = 512
 UNDETERMINED = "und"
 #: Characters handled at a time.
 SLICE_CHARS = 1 << 20
@@ -62,14 +63,49 @@ def gram_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     has_letter[rows[letter]] = True
     points = np.where(letter, points, 32)[keep].astype(np.uint64)
     rows = rows[keep]
-    if len(points) < GRAM:
-        return rows[:0], points[:0], has_letter
-    n = len(points) - GRAM + 1
+    total = _windows(points)
+    whole = rows[: len(total)] == rows[GRAM - 1 :] if len(total) else np.zeros(0, dtype=bool)
+    return rows[: len(total)][whole], total[whole], has_letter
+
+
+def _windows(points: np.ndarray) -> np.ndarray:
+    """Hash of every GRAM neighbouring code points."""
+    n = max(0, len(points) - GRAM + 1)
     total = np.zeros(n, dtype=np.uint64)
     for k in range(GRAM):
         total = mix(total + points[k : k + n])
-    whole = rows[:n] == rows[GRAM - 1 :]
-    return rows[:n][whole], total[whole], has_letter
+    return total
+
+
+def long_gram_hashes(text: str, most: int = SLICE_CHARS) -> Iterator[tuple[np.ndarray, bool]]:
+    """The hashes that ``gram_hashes`` gives for one text, stretch by stretch of ``most``
+    characters, and whether the stretch has a letter: memory follows the stretch."""
+    lowered = f"{text.lower()} "
+    carry, inside = np.full(GRAM - 2, 32, dtype=np.uint64), False
+    for lo in range(0, len(lowered), most):
+        points = np.frombuffer(lowered[lo : lo + most].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        letter = _letters()[points]
+        keep = letter.copy()
+        keep[1:] |= letter[:-1]
+        keep[0] |= inside
+        inside = bool(letter[-1])
+        points = np.concatenate([carry, np.where(letter, points, 32)[keep].astype(np.uint64)])
+        carry = points[-(GRAM - 1) :]  # the n-grams of the next stretch begin here
+        yield _windows(points), bool(letter.any())
+
+
+def _parts(texts: list[str], most: int = SLICE_CHARS) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``gram_hashes`` of all texts together, but for those over ``most`` characters, which come in stretches."""
+    long = [i for i, t in enumerate(texts) if len(t) > most]
+    yield gram_hashes([t if len(t) <= most else "" for t in texts])
+    for i in long:
+        for hashes, letter in long_gram_hashes(texts[i], most):
+            yield np.full(len(hashes), i), hashes, np.arange(len(texts)) == (i if letter else -1)
+
+
+def slots_of(hashes: np.ndarray, slots: int) -> list[np.ndarray]:
+    """The HASHES slots (of a power of two) of each n-gram."""
+    return [((hashes * m) >> np.uint64(20)) & np.uint64(slots - 1) for m in _MULTIPLIERS[:HASHES]]
 
 
 @dataclass
@@ -83,25 +119,26 @@ class LanguageFilter:
 
     def languages_of(self, hashes: np.ndarray) -> np.ndarray:
         """Bitmask words of the languages that contain each n-gram."""
-        slots = np.uint64(len(self.masks) - 1)
         found = None
-        for multiplier in _MULTIPLIERS[:HASHES]:
-            masks = self.masks[((hashes * multiplier) >> np.uint64(20)) & slots]
+        for slots in slots_of(hashes, len(self.masks)):
+            masks = self.masks[slots]
             found = masks if found is None else found & masks
         return found
 
     def identify(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """(language, score) of each text; ``und`` and 0 for a text without a letter."""
-        rows, hashes, has_letter = gram_hashes(texts)
-        total = np.bincount(rows, minlength=len(texts)).astype(np.float64)
+        total, has_letter = np.zeros(len(texts)), np.zeros(len(texts), dtype=bool)
+        counts = np.zeros((len(self.languages), len(texts)))
         if not self.languages:
-            return [UNDETERMINED] * len(texts), np.zeros(len(texts))
-        found = self.languages_of(hashes)
-        width = found.dtype.itemsize * 8
-        counts = np.empty((len(self.languages), len(texts)))
-        for i in range(len(self.languages)):
-            bit = (found[:, i // width] >> found.dtype.type(i % width)) & found.dtype.type(1)
-            counts[i] = np.bincount(rows, weights=bit, minlength=len(texts))
+            return [UNDETERMINED] * len(texts), total
+        for rows, hashes, letter in _parts(texts):
+            total += np.bincount(rows, minlength=len(texts))
+            has_letter |= letter
+            found = self.languages_of(hashes)
+            width = found.dtype.itemsize * 8
+            for i in range(len(self.languages)):
+                bit = (found[:, i // width] >> found.dtype.type(i % width)) & found.dtype.type(1)
+                counts[i] += np.bincount(rows, weights=bit, minlength=len(texts))
         rate = self.false_positive[:, None]
         corrected = np.maximum(0.0, (counts - rate * total) / np.maximum(1e-9, 1 - rate))
         best = np.argmax(corrected, axis=0)  # ties: the first by code point
@@ -116,63 +153,73 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def gram_counts(docs: DataFrame) -> DataFrame:
-    """(lang, gram, n) over all texts of ``docs`` (lang, text): combined in tasks, then by shuffle."""
+def language_slots(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """(lang, slot, n) over all texts of ``docs`` (lang, text): every slot that an n-gram of the language
+    hashes to, and slot -1 with the language's number of n-grams. At most slots + 1 rows a
+    language, combined in tasks and then by shuffle."""
     ship_package(docs.sparkSession)
 
-    def count(batches: Iterator) -> Iterator:
+    def place(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), batch.column(1).fill_null("")
             sizes = texts.to_pandas().str.len().to_numpy() if len(texts) else []
             by_lang: dict[str, list] = {}
+            total: dict[str, int] = dict.fromkeys(langs, 0)
             for lo, hi in batch_slices(sizes, SLICE_CHARS):
-                rows, hashes, _ = gram_hashes(texts.slice(lo, hi - lo).to_pylist())
                 names = np.array(langs[lo:hi], dtype=object)
-                for lang in sorted(set(langs[lo:hi])):
-                    by_lang.setdefault(lang, []).append(
-                        np.unique(hashes[(names == lang)[rows]], return_counts=True)
-                    )
+                for rows, hashes, _ in _parts(texts.slice(lo, hi - lo).to_pylist()):
+                    for lang in set(langs[lo:hi]):
+                        own = hashes[(names == lang)[rows]]
+                        total[lang] += len(own)
+                        by_lang.setdefault(lang, []).append(np.unique(own))
             for lang, parts in by_lang.items():
-                grams, at = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
-                n = np.bincount(at, weights=np.concatenate([c for _, c in parts]), minlength=len(grams)).astype(np.int64)
+                at = np.unique(np.concatenate(slots_of(np.unique(np.concatenate(parts)), slots))).astype(np.int64)
+                n = np.zeros(len(at) + 1, dtype=np.int64)
+                n[-1] = total[lang]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(n)],
-                    names=["lang", "gram", "n"],
+                    [pa.array([lang] * len(n), pa.string()), pa.array(np.append(at, -1)), pa.array(n)],
+                    names=["lang", "slot", "n"],
                 )
 
-    parts = docs.select("lang", "text").mapInArrow(count, "lang string, gram long, n long")
-    return parts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    parts = docs.select("lang", "text").mapInArrow(place, "lang string, slot long, n long")
+    return parts.groupBy("lang", "slot").agg(F.sum("n").alias("n"))
 
 
-def learn(docs: DataFrame, least_share: float = LEAST_SHARE) -> LanguageFilter:
-    """Filter of the n-grams that hold at least ``least_share`` of their language's n-grams.
+def learn(docs: DataFrame, slots: int = SLOTS) -> LanguageFilter:
+    """Filter of all n-grams of the texts of each language.
 
-    Learns from ``text`` and non-null ``lang`` of every row of ``docs``. The driver receives at
-    most 1 / least_share n-grams per language.
+    Learns from ``text`` and non-null ``lang`` of every row of ``docs``. The driver receives one
+    row a language and at most ``slots`` masks for every 64 languages, whatever the corpus; over
+    MOST_LANGUAGES values of ``lang`` are an error.
     """
     from obslake.llm.common import staged
 
-    counts = staged(gram_counts(docs.where("lang IS NOT NULL")), "grams")
-    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    placed = staged(language_slots(docs.where("lang IS NOT NULL"), slots), "language-slots")
+    found = placed.where("slot < 0").select("lang", "n").limit(MOST_LANGUAGES + 1).collect()
+    if len(found) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} values of lang")
+    totals = {r["lang"]: r["n"] for r in found}
     languages = sorted(totals)
     if not languages:
         return LanguageFilter([], np.zeros((1, 1), dtype=np.uint8))
-    least = F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(least_share * totals[k]))])
-    kept = counts.where(F.col("n") >= least[F.col("lang")]).select("lang", "gram").toPandas()
     kind = np.uint8 if len(languages) <= 8 else np.uint64
     width = np.dtype(kind).itemsize * 8
-    slots = 1 << max(10, int(np.ceil(np.log2(max(1, kept["gram"].nunique()) * SLOTS_PER_GRAM))))
+    numbers = F.create_map(*[x for i, k in enumerate(languages) for x in (F.lit(k), F.lit(i))])
     masks = np.zeros((slots, -(-len(languages) // width)), dtype=kind)
+    rows = (
+        placed.where("slot >= 0")
+        .select("slot", numbers[F.col("lang")].alias("i"))
+        .groupBy("slot", F.expr(f"i div {width}").alias("word"))
+        .agg(F.expr(f"bit_or(shiftleft(1L, cast(i % {width} as int)))").alias("mask"))
+        .toArrow()
+    )
+    at, word, mask = (rows.column(c).to_numpy() for c in ("slot", "word", "mask"))
+    masks[at, word] = mask.view(np.uint64).astype(kind)
     rates = np.zeros(len(languages))
-    for i, lang in enumerate(languages):
-        grams = kept.loc[kept["lang"] == lang, "gram"].to_numpy(np.int64).view(np.uint64)
-        column = masks[:, i // width]
-        for multiplier in _MULTIPLIERS[:HASHES]:
-            at = np.unique(((grams * multiplier) >> np.uint64(20)) & np.uint64(slots - 1))
-            column[at] |= kind(1 << (i % width))
-        rates[i] = np.mean((column >> kind(i % width)) & kind(1)) ** HASHES
+    for i in range(len(languages)):
+        rates[i] = np.mean((masks[:, i // width] >> kind(i % width)) & kind(1)) ** HASHES
     common = max(range(len(languages)), key=lambda i: totals[languages[i]])
     return LanguageFilter(languages, masks, common, rates)
 
