@@ -19,10 +19,11 @@ MIN_WORDS = 50
 BUCKETS = 1 << 14
 #: Share of the raw distribution mixed into the target (bounds a log-ratio from below).
 RAW_SHARE = 0.05
-#: Pseudo-count of a bucket in both multinomials: n-grams too rare to tell anything count for nothing.
-PRIOR = 50.0
+#: Pseudo-count of a bucket in both multinomials, as a multiple of the trusted n-grams a bucket has on
+#: average: n-grams too rare to tell anything count for little, alike in a corpus of any size.
+PRIOR_SHARE = 2.0
 #: Least mean log-ratio (nats per n-gram) of a kept document.
-THRESHOLD = -0.05
+THRESHOLD = -0.042
 
 
 def with_base_rules(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -117,20 +118,22 @@ def ngram_counts(docs: DataFrame, trusted: DataFrame, text: str = "text", bucket
 
 
 def log_ratios(counts: DataFrame, buckets: int = BUCKETS, raw_share: float = RAW_SHARE) -> list[float]:
-    """Log-ratio of each bucket, ``log((1 - s) * (target + PRIOR) / (expected + PRIOR) + s)``, where
-    ``expected`` is the bucket's raw share of all trusted n-grams; 0 for a bucket that no
-    n-gram has, and everywhere when there is no trusted n-gram. The driver gets ``buckets``
-    numbers at most, whatever the corpus."""
+    """Log-ratio of each bucket, ``log((1 - s) * (target + p) / (expected + p) + s)``, where
+    ``expected`` is the bucket's raw share of all trusted n-grams and ``p`` is PRIOR_SHARE times
+    the trusted n-grams a bucket; 0 for a bucket that no n-gram has, and everywhere when there
+    is no trusted n-gram. A corpus and the same corpus several times over have equal ratios. The
+    driver gets ``buckets`` numbers at most, whatever the corpus."""
     import math
 
     rows = {r["bucket"]: (r["raw"], r["target"]) for r in counts.collect()}
     raw_total = sum(r for r, _ in rows.values())
     target_total = sum(t for _, t in rows.values())
     ratios = [0.0] * buckets
+    prior = PRIOR_SHARE * target_total / buckets
     if target_total:
         for bucket, (raw, target) in rows.items():
             expected = raw * target_total / raw_total
-            ratios[bucket] = math.log((1 - raw_share) * (target + PRIOR) / (expected + PRIOR) + raw_share)
+            ratios[bucket] = math.log((1 - raw_share) * (target + prior) / (expected + prior) + raw_share)
     return ratios
 
 
