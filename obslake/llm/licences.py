@@ -66,14 +66,38 @@ APACHE_NOTICE = """Licensed under the Apache License, Version 2.0 (the "License"
 http://www.apache.org/licenses/LICENSE-2.0
 
 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
-KNOWN_LICENCES = (
+# Title lines that stand before the text of a licence.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "MIT"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)", "ISC"),
+    "BSD-2-Clause": (
+        "BSD 2-Clause License",
+        "The BSD 2-Clause License",
+        "BSD-2-Clause",
+        "The 2-Clause BSD License",
+        "Simplified BSD License",
+        "BSD License",
+    ),
+    "BSD-3-Clause": (
+        "BSD 3-Clause License",
+        "The BSD 3-Clause License",
+        "BSD-3-Clause",
+        "The 3-Clause BSD License",
+        "New BSD License",
+        "BSD License",
+    ),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License", "Zlib"),
+}
+BODIES = (
     ("MIT", MIT),
-    ("MIT", "MIT License\n\n" + MIT),
     ("ISC", ISC),
-    ("ISC", "ISC License\n\n" + ISC),
     ("BSD-2-Clause", BSD_CLAUSES + BSD_DISCLAIMER),
     ("BSD-3-Clause", BSD_CLAUSES + BSD_THIRD + BSD_DISCLAIMER),
     ("Zlib", ZLIB),
+)
+KNOWN_LICENCES = (
+    *BODIES,
+    *((licence, f"{title}\n\n{body}") for licence, body in BODIES for title in TITLES[licence]),
     ("Apache-2.0", APACHE_NOTICE),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("MIT", "Released under the MIT License."),
@@ -81,10 +105,14 @@ KNOWN_LICENCES = (
     ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3."),
 )
 
-# A copyright line: optional comment marks, then "copyright" with a sign or year, "(c)" or the sign,
-# to the line's end; also "all rights reserved" lines. A wrapped line of a licence that begins with
-# "copyright notice" or "copyright holders" is none. Applied after A-Z lower-casing.
-COPYRIGHT_LINE = "^[ \\t/*#;-]*(?:copyright[ \\t:]*(?:\\(c\\)|©|[0-9])|\\(c\\)|©|all rights reserved)[^\\n]*$"
+# A copyright line: optional comment marks, then "copyright" with a sign or year, "(c)" or the sign, to
+# the line's end; "copyright the ... authors" (contributors, developers, project) without either; also
+# "all rights reserved" lines. A wrapped line of a licence that begins with "copyright notice" or
+# "copyright holders" is none. Applied after A-Z lower-casing.
+COPYRIGHT_LINE = (
+    "^[ \\t/*#;-]*(?:copyright[ \\t:]*(?:\\(c\\)|©|[0-9]|the [^\\n]*(?:authors|contributors|developers|project))"
+    "|\\(c\\)|©|all rights reserved)[^\\n]*$"
+)
 NOT_CANONICAL = "[^a-z0-9\\x{80}-\\x{10FFFF}]+"
 
 
@@ -111,14 +139,29 @@ def canonical_digest(text: Column) -> Column:
 
 def known_digests(spark: SparkSession, licences=KNOWN_LICENCES) -> DataFrame:
     """(licence_id, digest) of known texts, one row per digest (smallest id on a tie)."""
-    texts = spark.createDataFrame(list(licences), "licence_id string, text string")
+    return digests_of(spark.createDataFrame(list(licences), "licence_id string, text string"))
+
+
+def digests_of(texts: DataFrame) -> DataFrame:
+    """(licence_id, digest) of a table (licence_id, text) of known texts of any size, one row per
+    digest (smallest id on a tie). Rows with a null, and texts of which the canonical form leaves
+    nothing, are no licence."""
     return (
-        texts.select("licence_id", canonical_digest(F.col("text")).alias("digest"))
-        .groupBy("digest")
+        texts.where("licence_id IS NOT NULL")
+        .select("licence_id", canonical_text(F.col("text")).alias("form"))
+        .where("form <> ''")
+        .groupBy(F.sha2("form", 256).alias("digest"))
         .agg(F.min("licence_id").alias("licence_id"))
     )
 
 
+def licence_folder(spark: SparkSession, path: str) -> DataFrame:
+    """(licence_id, text) of a shared folder of whole licence texts, a file each; the id is the file's
+    name without ``.txt``."""
+    name = F.regexp_replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1), "\\.txt$", "")
+    return spark.read.text(path, wholetext=True).select(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("licence_id"), F.col("value").alias("text"))
+
+
 def scan_licences(docs: DataFrame, known: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``canonical_digest`` and ``licence_id`` (null: the whole text is no known licence).
 
