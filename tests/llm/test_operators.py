@@ -106,7 +106,7 @@ def test_quality_rules(spark, docs, empty):
         raw.update(buckets)
         if r.doc_id in (0, 1, 6):
             target.update(buckets)
-    share, prior = quality.RAW_SHARE, quality.PRIOR
+    share, prior = quality.RAW_SHARE, quality.PRIOR_SHARE * target.total() / 64
     expected = {b: n * target.total() / raw.total() for b, n in raw.items()}
     ratio = {b: math.log((1 - share) * (target[b] + prior) / (e + prior) + share) for b, e in expected.items()}
     scores = {r.doc_id: (sum(ratio[x % 64] for x in r.g) / len(r.g) if r.g else 0.0) for r in grams}
@@ -117,6 +117,16 @@ def test_quality_rules(spark, docs, empty):
     assert {r.score for r in quality.quality_rules(docs, trusted.limit(0)).collect()} == {0.0}
 
 
+def test_quality_ratios_do_not_depend_on_the_size_of_the_corpus(spark, docs):
+    """Ten times every document (under other ids, trusted alike): the same ratios, so the same verdicts."""
+    trusted = spark.createDataFrame([(0,), (1,), (6,)], "doc_id long")
+    times = spark.range(10).withColumnRenamed("id", "k")
+    more = docs.where("doc_id IS NOT NULL").join(times).withColumn("doc_id", F.expr("doc_id * 10 + k"))
+    more_trusted = trusted.join(times).select(F.expr("doc_id * 10 + k").alias("doc_id"))
+    once = quality.log_ratios(quality.ngram_counts(docs.where("doc_id IS NOT NULL"), trusted, buckets=256), 256)
+    assert any(once) and once == pytest.approx(quality.log_ratios(quality.ngram_counts(more, more_trusted, buckets=256), 256))
+
+
 def test_repeated_words_compare_whole_hashes(spark, monkeypatch):
     """Windows whose hashes differ in their upper bits only are different windows."""
     neighbours = quality._neighbours
@@ -341,6 +351,44 @@ def test_mixing(docs, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def brute_mix(got):
+    """Words that each row of the mix gets, the schedule played slot by slot over whole lines of words.
+
+    ``got`` gives only the shuffled order of every source's documents."""
+    lines, needs = {}, {}
+    for r in got:
+        lines.setdefault(r.source, {})[(r.line_from, r.size, r.order_key, r.doc_id, r.text)] = r.target
+    order = sorted((s for s in lines if s is not None), key=lambda s: [ord(c) for c in s]) + [None] * (None in lines)
+    line, blocks = {}, {}
+    for s in order:
+        line[s] = [row for row in sorted(lines[s], key=lambda r: r[:2]) for _ in range(row[1])]
+        words_of = len(line[s])
+        blocks[s] = min(words_of, max(-(-words_of // mixing.BLOCK_WORDS), mixing.LEAST_BLOCKS))
+        needs[s] = next(iter(lines[s].values())) * blocks[s] / words_of if words_of else 0.0
+    total, taken, used = sum(needs.values()), Counter(), Counter()
+    for slot in range(round(total)):
+        # The golden ratio times 2**64, as the fraction's integer.
+        point, edge = ((slot + 1) * 11400714819323198485 % 2**64) / 2.0**64, 0.0
+        for s in order:
+            edge += needs[s]
+            if point < edge / total or s == order[-1]:
+                break
+        k, used[s] = used[s], used[s] + 1
+        if blocks[s] and k < 2 * blocks[s]:
+            b, n = k % blocks[s], len(line[s])
+            taken.update(line[s][b * n // blocks[s] : (b + 1) * n // blocks[s]])
+    return taken
+
+
+def test_mix_is_the_schedule_played_slot_by_slot(docs):
+    got = mixing.mix(docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])).withColumn("taken", mixing.taken_words()).collect()
+    have = Counter()
+    for r in got:
+        have[(r.line_from, r.size, r.order_key, r.doc_id, r.text)] += r.taken
+    want = brute_mix(got)
+    assert +have == want and want.total() > 0
+
+
 def test_source_mix_query_keeps_repeated_rows(spark, tmp_path):
     """Wholly repeated rows, with and without words, come back one by one, none above twice its size."""
     table = [*rows(), *[rows()[0]] * 3, *[(900, "", "en", "s1", 0)] * 3, *[(901, None, None, None, None)] * 2]
@@ -434,6 +482,78 @@ def test_language_id(spark, empty):
     assert {r.lang_pred for r in langid.identify(docs.select("doc_id", "text"), blank).collect()} == {"und"}
 
 
+def brute_grams(text):
+    """The four-letter windows of a text's lower-cased words, from their definition."""
+    runs = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split(" ")
+    line = "  " + " ".join(r for r in runs if r) + " "
+    return [line[i : i + 4] for i in range(len(line) - 3)] if line.strip() else []
+
+
+def brute_languages(table):
+    """doc_id to (held_out, language, score) with exact sets instead of the filter."""
+    known = {}
+    held = {d: d is not None and zlib.crc32(str(d).encode()) % 3 == 1 for d, _, _ in table}
+    for d, text, lang in table:
+        if lang is not None and not held[d]:
+            known.setdefault(lang, set()).update(brute_grams(text))
+    out = {}
+    for d, text, _ in table:
+        grams = brute_grams(text)
+        counts = {lang: sum(g in known[lang] for g in grams) for lang in sorted(known)}
+        best = max(counts, key=counts.get)
+        out[d] = (held[d], best, counts[best] / len(grams), counts) if grams else (held[d], "und", 0.0, counts)
+    return out
+
+
+def test_op5_against_exact_sets_on_given_documents(spark):
+    from tests.conftest import SF_SMALL
+
+    given = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "lang").collect()
+    want = brute_languages([tuple(r) for r in given])
+    got = queries.op5_language_id(spark, SF_SMALL).collect()
+    assert sorted(r.doc_id for r in got) == sorted(want)
+    for r in got:
+        held, lang, score, counts = want[r.doc_id]
+        assert r.held_out == held and r.score == pytest.approx(score, abs=1e-3)
+        assert r.lang_pred == lang or counts[r.lang_pred] == counts[lang]
+
+
+def test_every_ngram_is_in_the_filter(spark):
+    """One rare n-gram among a hundred thousand others: its language is returned for it."""
+    docs = spark.createDataFrame([("en", "alpha " * 100_000 + "zyxwv"), ("de", "beta gamma"), ("de", None)], "lang string, text string")
+    model = langid.learn(docs)
+    _, hashes, _ = langid.gram_hashes(["alpha zyxwv"])
+    assert (model.languages_of(hashes)[:, 0] & (1 << model.languages.index("en"))).all()
+
+
+def test_repeated_rows_and_more_than_64_languages(spark):
+    docs = spark.createDataFrame([(f"l{i:03}", f"{chr(0x4E00 + i) * 6} common") for i in range(70)], "lang string, text string")
+    model = langid.learn(docs.union(docs), slots=1 << 16)
+    names, score = model.identify([chr(0x4E00 + i) * 6 for i in range(70)])
+    assert names == [f"l{i:03}" for i in range(70)] and (score > 0.9).all()
+    twice = docs.select(F.lit(1).alias("doc_id"), "text", F.lit("x").alias("score"))
+    found = langid.identify(twice.union(twice), model).collect()
+    assert Counter(found) == Counter({r: 2 for r in set(found)}) and len(found) == 140
+
+
+@pytest.mark.parametrize("most", [1, 2, 3, 7, 64])
+def test_long_texts_come_in_stretches(most):
+    rng = random.Random(most)
+    for text in ["", " ", "a", "é ", "  ab", "one two,three..  four", "".join(rng.choices("abΣİ .,1", k=300))]:
+        _, want, letter = langid.gram_hashes([text])
+        parts = list(langid.long_gram_hashes(text, most))
+        assert any(has for _, has in parts) == letter[0]
+        if letter[0]:
+            assert np.concatenate([h for h, _ in parts]).tolist() == want.tolist()
+    texts = ["short one", "x" * 100 + " ende", ""]
+    rows, hashes, has = (np.concatenate(x) for x in zip(*[(r, h, np.flatnonzero(x)) for r, h, x in langid._parts(texts, most)], strict=True))
+    whole_rows, whole, whole_has = langid.gram_hashes(texts)
+    keep = np.isin(rows, np.flatnonzero(whole_has))
+    kept = np.isin(whole_rows, np.flatnonzero(whole_has))
+    assert Counter(zip(rows[keep], hashes[keep])) == Counter(zip(whole_rows[kept], whole[kept]))
+    assert set(has) == set(np.flatnonzero(whole_has))
+
+
 def test_bloom_filter_has_no_false_negative(spark):
     docs = spark.createDataFrame([("en", "alpha beta"), ("de", "alpha gamma")], "lang string, text string")
     model = langid.learn(docs)
@@ -487,6 +607,44 @@ def test_licences(spark, docs, empty):
     assert licences.scan_licences(empty, known).count() == 0
 
 
+def test_licence_titles_and_copyright_lines(spark):
+    known = licences.known_digests(spark)
+    texts = [
+        (1, "The MIT License (MIT)\n\nCopyright (c) 2014 Somebody\n\n" + licences.MIT),
+        (2, "BSD 3-Clause License\n\nCopyright The Project Authors. All rights reserved.\n\n" + licences.BSD_CLAUSES + licences.BSD_THIRD + licences.BSD_DISCLAIMER),
+        (3, "# Copyright the contributors of X\n" + licences.BSD_CLAUSES + licences.BSD_DISCLAIMER.replace("HOLDERS AND", "\nHOLDERS AND").replace("THE COPYRIGHT", "THE\nCOPYRIGHT")),
+        (4, "The ISC License\n" + licences.MIT),
+        (5, "Copyright The Project Authors"),
+    ]
+    got = {r.doc_id: r.licence_id for r in licences.scan_licences(spark.createDataFrame(texts, "doc_id long, text string"), known).collect()}
+    assert got == {1: "MIT", 2: "BSD-3-Clause", 3: "BSD-2-Clause", 4: None, 5: None}
+
+
+def test_licences_from_a_folder_of_whole_texts(spark, tmp_path):
+    """Long texts, re-wrapped, with other case and marks, are found by digests of the files."""
+    rng = random.Random(4)
+    folder = tmp_path / "licences"
+    folder.mkdir()
+    whole = {}
+    for name in ("Long-1.0", "Long+2.0", "Other 3"):
+        whole[name] = "\n\n".join(" ".join(rng.choice(["copyright", "notice", "the", "Work", "licence", "You", "may,", "not;"]) for _ in range(3000)) for _ in range(5))
+        (folder / f"{name}.txt").write_text(whole[name])
+    (folder / "empty").write_text(" \n")
+    system = "/usr/share/common-licenses/Apache-2.0"
+    import os
+
+    if os.path.exists(system):
+        whole["Apache-2.0"] = open(system).read()
+        (folder / "Apache-2.0").write_text(whole["Apache-2.0"])
+    known = licences.digests_of(licences.licence_folder(spark, str(folder)))
+    texts = [(i, t.upper().replace(" ", "   \t") + "\n--\n", name) for i, (name, t) in enumerate(sorted(whole.items()))]
+    texts += [(98, texts[0][1][:-2000], None), (99, "", None)]
+    df = spark.createDataFrame(texts, "doc_id long, text string, want string")
+    assert [(r.licence_id, r.want) for r in licences.scan_licences(df, known).collect() if r.licence_id != r.want] == []
+    rows = spark.createDataFrame([(None, "a"), ("b", None), ("d", "same"), ("c", "Same!")], "licence_id string, text string")
+    assert [r.licence_id for r in licences.digests_of(rows).collect()] == ["c"]
+
+
 @pytest.mark.parametrize("zip64", [False, True])
 def test_archives_round_trip(spark, tmp_path, zip64):
     pages = [(1, "http://a/", "same"), (2, "u\r\nv", "same"), (5, None, "same"), (3, "c", "é\r\n\r\nx"), (4, "d", None), (6, "e", ""), (None, "n", "alone"), (7, "big", "y" * 300_000)]
