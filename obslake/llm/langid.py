@@ -2,8 +2,11 @@
 
 One filter holds all languages: slot i is a mask with bit l set when some n-gram of
 language l hashes to i. The masks of an n-gram's slots, ANDed, give all languages that
-contain it at once. A text's n-grams are counted per language (popcount of its bit), each
-count is corrected by the slice's false positive rate, and the largest decides.
+contain it at once. Every n-gram of every text is in this plane. In a large corpus most
+languages contain most n-grams once, so further planes of the same make hold the n-grams
+with a least share of their language. A text's n-grams are counted per language and plane
+(popcount of its bit), each count is corrected by the slice's false positive rate, and the
+largest mean over the planes decides.
 """
 
 from __future__ import annotations
@@ -21,12 +24,15 @@ from obslake.session import ship_package
 
 #: Letters of an n-gram (words are set apart by one space).
 GRAM = 4
-#: Slots of the filter, whatever the corpus: every n-gram of every text is in it, and more n-grams only
-#: raise the false positive rates that the counts are corrected for.
+#: Slots of the filter, whatever the corpus: more n-grams only raise the false positive rates that the
+#: counts are corrected for.
 SLOTS = 1 << 22
+#: Planes of the filter: least share of its language's n-grams that an n-gram of the plane has. The
+#: first holds all.
+SHARES = (0.0, 2e-5, 2e-4)
 HASHES = 4
-#: Most languages (distinct values of lang): with SLOTS it bounds the filter to 256 MB.
-MOST_LANGUAGES = 512
+#: Most languages (distinct values of lang): with SLOTS it bounds the filter to 200 MB.
+MOST_LANGUAGES = 128
 UNDETERMINED = "und"
 #: Characters handled at a time.
 SLICE_CHARS = 1 << 20
@@ -110,15 +116,16 @@ def slots_of(hashes: np.ndarray, slots: int) -> list[np.ndarray]:
 
 @dataclass
 class LanguageFilter:
-    """The learned filter: ``masks`` has one row of words (64 languages each) per slot."""
+    """The learned filter: ``masks`` has a row per slot, with the words (64 languages each) of every plane."""
 
     languages: list[str]
     masks: np.ndarray
     common: int = 0
-    false_positive: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    #: By language and plane.
+    false_positive: np.ndarray = field(default_factory=lambda: np.zeros((0, len(SHARES))))
 
     def languages_of(self, hashes: np.ndarray) -> np.ndarray:
-        """Bitmask words of the languages that contain each n-gram."""
+        """Bitmask words of the languages that contain each n-gram, plane by plane (the first: at all)."""
         found = None
         for slots in slots_of(hashes, len(self.masks)):
             masks = self.masks[slots]
@@ -131,16 +138,21 @@ class LanguageFilter:
         counts = np.zeros((len(self.languages), len(texts)))
         if not self.languages:
             return [UNDETERMINED] * len(texts), total
+        rate = self.false_positive
+        scale = 1 / np.maximum(1e-9, 1 - rate) / len(SHARES)
         for rows, hashes, letter in _parts(texts):
             total += np.bincount(rows, minlength=len(texts))
             has_letter |= letter
             found = self.languages_of(hashes)
-            width = found.dtype.itemsize * 8
+            width, words = found.dtype.itemsize * 8, found.shape[1] // len(SHARES)
             for i in range(len(self.languages)):
-                bit = (found[:, i // width] >> found.dtype.type(i % width)) & found.dtype.type(1)
-                counts[i] += np.bincount(rows, weights=bit, minlength=len(texts))
-        rate = self.false_positive[:, None]
-        corrected = np.maximum(0.0, (counts - rate * total) / np.maximum(1e-9, 1 - rate))
+                weight = np.zeros(len(hashes))
+                for plane in range(len(SHARES)):
+                    bit = (found[:, plane * words + i // width] >> found.dtype.type(i % width)) & found.dtype.type(1)
+                    weight += bit * scale[i, plane]
+                counts[i] += np.bincount(rows, weights=weight, minlength=len(texts))
+        # The mean over the planes of (count - rate * total) / (1 - rate).
+        corrected = np.maximum(0.0, counts - (rate * scale).sum(axis=1)[:, None] * total)
         best = np.argmax(corrected, axis=0)  # ties: the first by code point
         top = corrected[best, np.arange(len(texts))]
         best = np.where(top > 0, best, self.common)
@@ -153,51 +165,72 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def language_slots(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """(lang, slot, n) over all texts of ``docs`` (lang, text): every slot that an n-gram of the language
-    hashes to, and slot -1 with the language's number of n-grams. At most slots + 1 rows a
-    language, combined in tasks and then by shuffle."""
+def gram_counts(docs: DataFrame) -> DataFrame:
+    """(lang, gram, n) over all texts of ``docs`` (lang, text): combined in tasks, then by shuffle."""
     ship_package(docs.sparkSession)
 
-    def place(batches: Iterator) -> Iterator:
+    def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), batch.column(1).fill_null("")
             sizes = texts.to_pandas().str.len().to_numpy() if len(texts) else []
             by_lang: dict[str, list] = {}
-            total: dict[str, int] = dict.fromkeys(langs, 0)
             for lo, hi in batch_slices(sizes, SLICE_CHARS):
                 names = np.array(langs[lo:hi], dtype=object)
                 for rows, hashes, _ in _parts(texts.slice(lo, hi - lo).to_pylist()):
                     for lang in set(langs[lo:hi]):
-                        own = hashes[(names == lang)[rows]]
-                        total[lang] += len(own)
-                        by_lang.setdefault(lang, []).append(np.unique(own))
+                        by_lang.setdefault(lang, []).append(np.unique(hashes[(names == lang)[rows]], return_counts=True))
             for lang, parts in by_lang.items():
-                at = np.unique(np.concatenate(slots_of(np.unique(np.concatenate(parts)), slots))).astype(np.int64)
-                n = np.zeros(len(at) + 1, dtype=np.int64)
-                n[-1] = total[lang]
+                grams, at = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+                n = np.bincount(at, weights=np.concatenate([c for _, c in parts]), minlength=len(grams)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(n), pa.string()), pa.array(np.append(at, -1)), pa.array(n)],
-                    names=["lang", "slot", "n"],
+                    [pa.array([lang] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(n)],
+                    names=["lang", "gram", "n"],
                 )
 
-    parts = docs.select("lang", "text").mapInArrow(place, "lang string, slot long, n long")
-    return parts.groupBy("lang", "slot").agg(F.sum("n").alias("n"))
+    parts = docs.select("lang", "text").mapInArrow(count, "lang string, gram long, n long")
+    return parts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+
+
+def slot_masks(counts: DataFrame, totals: dict[str, int], slots: int, width: int) -> DataFrame:
+    """(slot, word, mask) of the filter of all n-grams of ``counts``: at most ``slots`` rows for each word
+    (``width`` languages of one plane). ``totals``: n-grams of each language."""
+    languages = sorted(totals)
+    words = -(-len(languages) // width)
+    number = {lang: i for i, lang in enumerate(languages)}
+    sums = np.array([totals[lang] for lang in languages], dtype=np.float64)
+
+    def place(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            names = batch.column(0).dictionary_encode()
+            own = np.array([number[x] for x in names.dictionary.to_pylist()], dtype=np.int64)[names.indices.to_numpy()]
+            grams, n = batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy()
+            for plane, least in enumerate(SHARES):
+                keep = n >= least * sums[own]
+                mask, word = np.int64(1) << (own[keep] % width), plane * words + own[keep] // width
+                for at in slots_of(grams[keep], slots):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(at.astype(np.int64)), pa.array(word), pa.array(mask)], names=["slot", "word", "mask"]
+                    )
+
+    rows = counts.select("lang", "gram", "n").mapInArrow(place, "slot long, word long, mask long")
+    return rows.groupBy("slot", "word").agg(F.bit_or("mask").alias("mask"))
 
 
 def learn(docs: DataFrame, slots: int = SLOTS) -> LanguageFilter:
-    """Filter of all n-grams of the texts of each language.
+    """Filter of all n-grams of the texts of each language, with its planes.
 
     Learns from ``text`` and non-null ``lang`` of every row of ``docs``. The driver receives one
-    row a language and at most ``slots`` masks for every 64 languages, whatever the corpus; over
-    MOST_LANGUAGES values of ``lang`` are an error.
+    row a language and at most ``slots`` masks a plane for every 64 languages, whatever the
+    corpus; over MOST_LANGUAGES values of ``lang`` are an error.
     """
     from obslake.llm.common import staged
 
-    placed = staged(language_slots(docs.where("lang IS NOT NULL"), slots), "language-slots")
-    found = placed.where("slot < 0").select("lang", "n").limit(MOST_LANGUAGES + 1).collect()
+    counts = staged(gram_counts(docs.where("lang IS NOT NULL")), "grams")
+    found = counts.groupBy("lang").agg(F.sum("n").alias("n")).limit(MOST_LANGUAGES + 1).collect()
     if len(found) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} values of lang")
     totals = {r["lang"]: r["n"] for r in found}
@@ -206,20 +239,15 @@ def learn(docs: DataFrame, slots: int = SLOTS) -> LanguageFilter:
         return LanguageFilter([], np.zeros((1, 1), dtype=np.uint8))
     kind = np.uint8 if len(languages) <= 8 else np.uint64
     width = np.dtype(kind).itemsize * 8
-    numbers = F.create_map(*[x for i, k in enumerate(languages) for x in (F.lit(k), F.lit(i))])
-    masks = np.zeros((slots, -(-len(languages) // width)), dtype=kind)
-    rows = (
-        placed.where("slot >= 0")
-        .select("slot", numbers[F.col("lang")].alias("i"))
-        .groupBy("slot", F.expr(f"i div {width}").alias("word"))
-        .agg(F.expr(f"bit_or(shiftleft(1L, cast(i % {width} as int)))").alias("mask"))
-        .toArrow()
-    )
+    words = -(-len(languages) // width)
+    masks = np.zeros((slots, words * len(SHARES)), dtype=kind)
+    rows = slot_masks(counts, totals, slots, width).toArrow()
     at, word, mask = (rows.column(c).to_numpy() for c in ("slot", "word", "mask"))
     masks[at, word] = mask.view(np.uint64).astype(kind)
-    rates = np.zeros(len(languages))
+    rates = np.zeros((len(languages), len(SHARES)))
     for i in range(len(languages)):
-        rates[i] = np.mean((masks[:, i // width] >> kind(i % width)) & kind(1)) ** HASHES
+        for plane in range(len(SHARES)):
+            rates[i, plane] = np.mean((masks[:, plane * words + i // width] >> kind(i % width)) & kind(1)) ** HASHES
     common = max(range(len(languages)), key=lambda i: totals[languages[i]])
     return LanguageFilter(languages, masks, common, rates)
 

@@ -490,18 +490,22 @@ def brute_grams(text):
 
 
 def brute_languages(table):
-    """doc_id to (held_out, language, score) with exact sets instead of the filter."""
+    """doc_id to (held_out, language, score, sums) with exact sets instead of the filter's planes."""
     known = {}
     held = {d: d is not None and zlib.crc32(str(d).encode()) % 3 == 1 for d, _, _ in table}
     for d, text, lang in table:
         if lang is not None and not held[d]:
-            known.setdefault(lang, set()).update(brute_grams(text))
+            known.setdefault(lang, Counter()).update(brute_grams(text))
+    planes = {
+        lang: [{g for g, n in counts.items() if n >= share * counts.total()} for share in langid.SHARES]
+        for lang, counts in sorted(known.items())
+    }
     out = {}
     for d, text, _ in table:
         grams = brute_grams(text)
-        counts = {lang: sum(g in known[lang] for g in grams) for lang in sorted(known)}
-        best = max(counts, key=counts.get)
-        out[d] = (held[d], best, counts[best] / len(grams), counts) if grams else (held[d], "und", 0.0, counts)
+        sums = {lang: sum(g in plane for plane in sets for g in grams) / 3 for lang, sets in planes.items()}
+        best = max(sums, key=sums.get)
+        out[d] = (held[d], best, sums[best] / len(grams), sums) if grams else (held[d], "und", 0.0, sums)
     return out
 
 
@@ -510,12 +514,13 @@ def test_op5_against_exact_sets_on_given_documents(spark):
 
     given = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "lang").collect()
     want = brute_languages([tuple(r) for r in given])
+    assert len(langid.SHARES) == 3 and langid.SHARES[0] == 0
     got = queries.op5_language_id(spark, SF_SMALL).collect()
     assert sorted(r.doc_id for r in got) == sorted(want)
     for r in got:
         held, lang, score, counts = want[r.doc_id]
         assert r.held_out == held and r.score == pytest.approx(score, abs=1e-3)
-        assert r.lang_pred == lang or counts[r.lang_pred] == counts[lang]
+        assert r.lang_pred == lang or counts[r.lang_pred] == pytest.approx(counts[lang])
 
 
 def test_every_ngram_is_in_the_filter(spark):
@@ -530,7 +535,7 @@ def test_repeated_rows_and_more_than_64_languages(spark):
     docs = spark.createDataFrame([(f"l{i:03}", f"{chr(0x4E00 + i) * 6} common") for i in range(70)], "lang string, text string")
     model = langid.learn(docs.union(docs), slots=1 << 16)
     names, score = model.identify([chr(0x4E00 + i) * 6 for i in range(70)])
-    assert names == [f"l{i:03}" for i in range(70)] and (score > 0.9).all()
+    assert names == [f"l{i:03}" for i in range(70)] and (score > 0.6).all()
     twice = docs.select(F.lit(1).alias("doc_id"), "text", F.lit("x").alias("score"))
     found = langid.identify(twice.union(twice), model).collect()
     assert Counter(found) == Counter({r: 2 for r in set(found)}) and len(found) == 140
