@@ -14,6 +14,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: Bytes that are summed at a time; tables and sums have this length however long a text is.
+STRETCH_BYTES = 1 << 20
 _POWERS: list = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
 
@@ -63,12 +65,36 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each word's bytes, from running sums of a polynomial."""
-    powers, inverse = _powers(len(data) + 1)
-    running = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTES[data] * powers[: len(data)], out=running[1:])
-    length = (end - start).astype(np.uint64)
-    return mix((running[end] - running[start]) * inverse[start] + length * _STEP[63])
+    """64-bit hash of each word's bytes, from running sums of a polynomial over stretches of whole words.
+
+    A word's hash depends on its bytes alone, not on its place or on how the stretches fall."""
+    sums = np.empty(len(start), dtype=np.uint64)
+    lo = 0
+    while lo < len(start):
+        base = int(start[lo])
+        hi = int(np.searchsorted(end, base + STRETCH_BYTES, side="right"))
+        if hi <= lo:
+            sums[lo] = _long_word_sum(data[base : end[lo]])
+            lo += 1
+            continue
+        piece = data[base : end[hi - 1]]
+        powers, inverse = _powers(len(piece) + 1)
+        running = np.zeros(len(piece) + 1, dtype=np.uint64)
+        np.cumsum(_BYTES[piece] * powers[: len(piece)], out=running[1:])
+        a, b = start[lo:hi] - base, end[lo:hi] - base
+        sums[lo:hi] = (running[b] - running[a]) * inverse[a]
+        lo = hi
+    return mix(sums + (end - start).astype(np.uint64) * _STEP[63])
+
+
+def _long_word_sum(word: np.ndarray) -> np.uint64:
+    """The polynomial of a word longer than a stretch, piece by piece."""
+    total = 0
+    for at in range(0, len(word), STRETCH_BYTES):
+        piece = word[at : at + STRETCH_BYTES]
+        part = np.sum(_BYTES[piece] * _powers(STRETCH_BYTES)[0][: len(piece)], dtype=np.uint64)
+        total += int(part) * pow(int(_BASE), at, 1 << 64)
+    return np.uint64(total % (1 << 64))
 
 
 def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obslake.llm.common import released, staged
+from obslake.llm.common import numbered, released, staged
 from obslake.llm.hashing import lower_ascii, mix, shingles, utf8, word_hashes, word_spans
 from obslake.llm.repeats import shared_hashes
 
@@ -330,12 +330,14 @@ def components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame
 def representatives(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay when one row of each component does: that with the smallest
     doc_id (null last, then by text). Of rows with equal doc_id and text one stays, also
-    where the text has no word."""
+    where the text has no word. Other columns keep their values, whatever their names."""
     found = components(docs).select("doc_id", "row_key", "component")
     alone = found.where("component IS NULL").select("doc_id", "row_key")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
     first = found.where("component IS NOT NULL").groupBy("component").agg(F.min(order).alias("k")).select("k.doc_id", "k.row_key")
-    stay = alone.union(first).distinct().select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"))
-    keyed = docs.withColumn("_row_key", row_key())
-    same = (F.col("_row_key") == F.col("_key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
-    return keyed.join(stay.hint("merge"), same, "left_semi").dropDuplicates(["doc_id", "_row_key"]).drop("_row_key")
+    stay = alone.union(first).distinct().select(F.col("doc_id").alias("stay_id"), F.col("row_key").alias("stay_key"))
+    plain, col = numbered(docs)
+    keyed = plain.withColumns({"id": col("doc_id").cast("long"), "key": F.xxhash64(col("text").cast("string"))})
+    same = (F.col("key") == F.col("stay_key")) & F.col("id").eqNullSafe(F.col("stay_id"))
+    one = keyed.join(stay.hint("merge"), same, "left_semi").dropDuplicates(["id", "key"])
+    return one.drop("id", "key").toDF(*docs.columns)
