@@ -153,7 +153,8 @@ def quality_rules(
     Every row of ``docs`` comes back once, whatever its nulls: a null or empty text fails
     the base rules (under 50 words). A null doc_id is never trusted. Repeated rows get equal
     verdicts, and equal texts equal verdicts. Columns of ``docs`` with the names of results
-    are replaced. Two reads of ``docs``: one counts the n-grams, one scores.
+    are replaced, those named like its steps (``_words``, ``_hashes``,
+    ``_lines``, ``_windows``, ``_placed``, ``_repeated``, ``_ngrams``) dropped. Two reads of ``docs``: one counts the n-grams, one scores.
     """
     own = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
     ratios = log_ratios(ngram_counts(docs, trusted, text, buckets), buckets)
