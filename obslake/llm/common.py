@@ -77,6 +77,22 @@ def swept(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def memory_returned() -> None:
+    """Give memory that a Python worker has freed back to the system.
+
+    Workers wait for their next task with what Arrow's pool and the C library keep of the last one; beside
+    the workers of another session, that is memory which the executor needs. Called at the end of a large step.
+    """
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def batch_slices(lengths, most: int) -> Iterator[tuple[int, int]]:
     """[from, to) row ranges whose summed ``lengths`` stay near ``most`` (one row at least)."""
     start, total = 0, 0

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obslake.llm.common import batch_slices, staged, swept
+from obslake.llm.common import batch_slices, memory_returned, staged, swept
 from obslake.session import ship_package
 
 #: Text bytes and rows of a block; text bytes for which a bucket of hashes is planned.
@@ -121,8 +121,14 @@ def shared_hashes(docs: DataFrame, extract: Callable, finish: Callable, schema:
                     names=["key", "block", "kind", "payload"],
                 )
                 block += 1
+        memory_returned()
 
     def counted(table):
+        out = count(table)
+        memory_returned()
+        return out
+
+    def count(table):
         import pyarrow as pa
 
         keys, blocks, kinds, payloads = (table.column(i).to_pylist() for i in range(4))

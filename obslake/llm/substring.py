@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from obslake.llm.common import batch_slices, numbered, released, staged, swept
+from obslake.llm.common import batch_slices, memory_returned, numbered, released, staged, swept
 from obslake.llm.hashing import ngram_hashes, utf8, word_hashes, word_spans
 from obslake.llm.repeats import shared_hashes
 from obslake.session import ship_package
@@ -234,6 +234,7 @@ def segments(docs: DataFrame, shared: DataFrame) -> DataFrame:
                     ],
                     names=["anchor", "words", "doc_id", "row_key", "start"],
                 )
+        memory_returned()
 
     keys = ["doc_id", "row_key"]
     known = shared.dropDuplicates(keys).select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"), "anchors")
@@ -312,11 +313,17 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         "distinct-segments",
     )
     swept(spark)
+
+    def matches(table):
+        out = shard_matches(table)
+        memory_returned()
+        return out
+
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + distinct.count() // SHARD_SEGMENTS)
     matched = (
         distinct.withColumn("shard", F.pmod("deal", F.lit(shards)))
         .groupBy("shard")
-        .applyInArrow(lambda t: shard_matches(t), "seg long, smallest array<long>")
+        .applyInArrow(matches, "seg long, smallest array<long>")
     )
     hits = found.select("seg", "doc_id", "row_key", "owner", "start").join(matched.hint("merge"), "seg")
     hits = hits.withColumn(
